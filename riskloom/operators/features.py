@@ -139,7 +139,7 @@ def engineer_disposition_features(df: DataFrame) -> DataFrame:
     }
     made = {
         f"{name}_grouped": codes.lookup(
-            _col(f"{name}_id").cast("int"), codes.group_pairs(groups), "Other"
+            _col(f"{name}_id").try_cast("int"), codes.group_pairs(groups), "Other"
         )
         if f"{name}_id" in df.columns
         else F.lit("Other")

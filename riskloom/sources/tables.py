@@ -66,6 +66,8 @@ def records_to_table(spark: SparkSession, records: Iterable[Mapping], schema=Non
         if isinstance(kind, T.DoubleType):
             return float(value)
         if isinstance(kind, T.LongType):
+            if float(value) != int(value):
+                raise ValueError(f"expected a whole number, got {value!r}")
             return int(value)
         return str(value)
 
