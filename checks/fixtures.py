@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskloom.functions import sqltext
 from riskloom.operators import cleaning, features
 from riskloom.schema import AGE_BRACKETS, MEDICATIONS, NUMERIC_FEATURES, RAW_COLUMNS
 from riskloom.sources.tables import null_markers
@@ -13,89 +14,87 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(index: Column, values) -> Column:
-    """``values[index]``, null past the end."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def _pick(index: str, options) -> str:
+    """``options[index]``, null past the end."""
+    return f"get(array({sqltext.values(options)}), int({index}))"
 
 
-def _medication(position: int, name: str, k: Column, c: Column) -> Column:
-    h = (k * (2 * position + 3) + c * (position + 1) + position) % 16
+def _medication(position: int, name: str) -> str:
     idle = 7 if name == "insulin" else 12
-    return F.when(h < idle, "No").when(h == 15, "Up").when(h == 14, "Down").otherwise("Steady")
+    doses = ["No"] * idle + ["Steady"] * (14 - idle) + ["Down", "Up"]
+    return _pick(f"(k * {2 * position + 3} + c * {position + 1} + {position}) % 16", doses)
 
 
-def _diagnosis(factor: int, i: int, k: Column, c: Column) -> Column:
-    e = (k * factor + c * i) % 1100
-    text = e.cast("string")
+def _diagnosis(number: str) -> str:
     return (
-        F.when(e >= 1080, F.lit(None).cast("string"))
-        .when(e >= 1060, "?")
-        .when(e >= 1030, F.concat(F.lit("V"), (e % 90).cast("string")))
-        .when(e >= 1000, F.concat(F.lit("E"), (e % 1000).cast("string")))
-        .when(e % 4 == 0, F.concat(text, F.lit(".5")))
-        .otherwise(text)
+        f"CASE WHEN {number} >= 1080 THEN NULL WHEN {number} >= 1060 THEN '?' "
+        f"WHEN {number} >= 1030 THEN concat('V', {number} % 90) "
+        f"WHEN {number} >= 1000 THEN concat('E', {number} % 1000) "
+        f"WHEN {number} % 4 = 0 THEN concat({number}, '.5') ELSE string({number}) END"
     )
 
 
 def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw columns, with the markers a raw file would hold."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey k", "o_custkey c", "o_orderpriority")
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey c", "c_nationkey")
     lines = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
+        .groupBy(F.col("l_orderkey").alias("k"))
         .agg(F.sum("l_quantity").cast("bigint").alias("qty"), (F.count(F.lit(1)) * 7).alias("items"))
     )
-    base = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-        lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"
+    base = orders.join(customers, "c").join(lines, "k", "left").selectExpr(
+        "*",
+        "IF(c % 5 < 3, 0L, k % 4) AS inpatient",
+        "IF(k % 7 < 5, 0L, c % 5) AS emergency",
+        "IF((k + c) % 9 < 6, 0L, c % 8) AS outpatient",
+        "(k * 37 + c) % 1100 AS e1",
+        "(k * 53 + c * 2) % 1100 AS e2",
+        "(k * 71 + c * 3) % 1100 AS e3",
     )
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    zero = F.lit(0).cast("bigint")
-    inpatient = F.when(c % 5 < 3, zero).otherwise(k % 4)
-    emergency = F.when(k % 7 < 5, zero).otherwise(c % 5)
-    outpatient = F.when((k + c) % 9 < 6, zero).otherwise(c % 8)
-    risk = 3 * inpatient + 2 * emergency + (k * 7919) % 23
-    nothing = F.lit(None).cast("string")
+    risk = "3 * inpatient + 2 * emergency + (7919 * k) % 23"
+    races = ["Caucasian", "AfricanAmerican", "Hispanic", "Asian", "Other"]
     made = {
-        "encounter_id": k,
-        "patient_nbr": F.floor(c * 8 + k % 8).cast("bigint"),
-        "race": _pick(
-            F.col("c_nationkey") % 6, ["Caucasian", "AfricanAmerican", "Hispanic", "Asian", "Other"]
-        ),
-        "gender": F.when(c % 2 == 0, "Female").otherwise("Male"),
-        "age": F.when(k % 89 == 0, "unknown").otherwise(_pick((7 * c + k) % 10, AGE_BRACKETS)),
-        "weight": nothing,
-        "admission_type_id": 1 + k % 8,
-        "discharge_disposition_id": 1 + c % 28,
-        "admission_source_id": 1 + (3 * k + c) % 25,
-        "time_in_hospital": F.when(k % 97 == 0, zero).otherwise(1 + (5 * k + c) % 14),
-        "payer_code": nothing,
-        "medical_specialty": F.when(k % 2 == 0, nothing).otherwise(F.col("o_orderpriority")),
-        "num_lab_procedures": F.col("qty") % 133,
-        "num_procedures": k % 7,
-        "num_medications": F.col("items") % 82,
-        "number_outpatient": outpatient,
-        "number_emergency": emergency,
-        "number_inpatient": inpatient,
-        "diag_1": _diagnosis(37, 1, k, c),
-        "diag_2": _diagnosis(53, 2, k, c),
-        "diag_3": _diagnosis(71, 3, k, c),
-        "number_diagnoses": 1 + (k + c) % 16,
-        "max_glu_serum": F.lit("None"),
-        "A1Cresult": F.coalesce(_pick((k + c) % 10, [">7", ">8", "Norm"]), F.lit("None")),
-        **{m: _medication(j, m, k, c) for j, m in enumerate(MEDICATIONS)},
-        "change": F.when(k % 3 == 0, "No").otherwise("Ch"),
-        "diabetesMed": F.when(k % 4 == 0, "No").otherwise("Yes"),
-        "readmitted": F.when(risk >= 22, "<30").when(risk >= 17, ">30").otherwise("NO"),
+        "encounter_id": "k",
+        "patient_nbr": "c * 8 + k % 8",
+        "race": _pick("c_nationkey % 6", races),
+        "gender": "IF(c % 2 = 0, 'Female', 'Male')",
+        "age": f"IF(k % 89 = 0, 'unknown', {_pick('(7 * c + k) % 10', AGE_BRACKETS)})",
+        "weight": "string(NULL)",
+        "admission_type_id": "1 + k % 8",
+        "discharge_disposition_id": "1 + c % 28",
+        "admission_source_id": "1 + (3 * k + c) % 25",
+        "time_in_hospital": "IF(k % 97 = 0, 0L, 1 + (5 * k + c) % 14)",
+        "payer_code": "string(NULL)",
+        "medical_specialty": "IF(k % 2 = 0, NULL, o_orderpriority)",
+        "num_lab_procedures": "qty % 133",
+        "num_procedures": "k % 7",
+        "num_medications": "items % 82",
+        "number_outpatient": "outpatient",
+        "number_emergency": "emergency",
+        "number_inpatient": "inpatient",
+        "diag_1": _diagnosis("e1"),
+        "diag_2": _diagnosis("e2"),
+        "diag_3": _diagnosis("e3"),
+        "number_diagnoses": "1 + (k + c) % 16",
+        "max_glu_serum": "'None'",
+        "A1Cresult": _pick("(k + c) % 10", [">7", ">8", "Norm"] + ["None"] * 7),
+        **{m: _medication(j, m) for j, m in enumerate(MEDICATIONS)},
+        "change": "IF(k % 3 = 0, 'No', 'Ch')",
+        "diabetesMed": "IF(k % 4 = 0, 'No', 'Yes')",
+        "readmitted": f"CASE WHEN {risk} >= 22 THEN '<30' WHEN {risk} >= 17 THEN '>30' ELSE 'NO' END",
     }
-    return base.select(*[made[name].alias(name) for name in RAW_COLUMNS])
+    return base.selectExpr(*[f"{made[c]} AS {sqltext.name(c)}" for c in RAW_COLUMNS])
+
+
+MARKED_COLUMNS = ("diag_1", "diag_2", "diag_3", "A1Cresult", "max_glu_serum")
 
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw encounters as a scan delivers them: markers are null."""
-    raw = raw_encounters(spark, sf_dir)
-    marked = ("diag_1", "diag_2", "diag_3", "A1Cresult", "max_glu_serum")
-    return raw.withColumns({c: null_markers(F.col(c)) for c in marked})
+    return features.add_columns(
+        raw_encounters(spark, sf_dir), {c: null_markers(c) for c in MARKED_COLUMNS}
+    )
 
 
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,16 +107,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed-form scores: ``encounter_id, y, p, gender, race, age_ordinal, admission_type_id``."""
     e = encounters(spark, sf_dir)
     margin = (
-        F.lit(-3.0)
-        + 0.45 * F.col("number_inpatient")
-        + 0.3 * F.col("number_emergency")
-        + 0.04 * F.col("time_in_hospital")
-        + 0.01 * (F.col("encounter_id") % 11)
+        "-3.0D + 0.45D * number_inpatient + 0.3D * number_emergency "
+        "+ 0.04D * time_in_hospital + 0.01D * (encounter_id % 11)"
     )
-    return features.engineer_age_ordinal(e).select(
+    return features.engineer_age_ordinal(e).selectExpr(
         "encounter_id",
-        F.col("readmitted").eqNullSafe("<30").cast("int").alias("y"),
-        F.round(1 / (1 + F.exp(-margin)), 6).alias("p"),
+        "int(readmitted <=> '<30') AS y",
+        f"round(1 / (1 + exp(-({margin}))), 6) AS p",
         "gender",
         "race",
         "age_ordinal",

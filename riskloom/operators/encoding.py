@@ -15,6 +15,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from riskloom.functions import sqltext
 from riskloom.operators import counts
 from riskloom.operators.running import SMALL_ROWS
 from riskloom.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
@@ -127,10 +128,6 @@ def fit_values(
     )
 
 
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def build_encoder(values: FittedValues, sample: DataFrame, output: str = "features") -> PipelineModel:
     """Native stages for the fitted values; ``sample`` only supplies the input schema."""
     items = []
@@ -140,7 +137,7 @@ def build_encoder(values: FittedValues, sample: DataFrame, output: str = "featur
     # A column without any level encodes to nothing.
     coded = {c: v for c, v in values.categorical.items() if v[1]}
     for name, (mode, _) in coded.items():
-        items.append(f"coalesce(CAST(`{name}` AS STRING), {_sql_text(mode)}) AS `cat__{name}`")
+        items.append(f"coalesce(CAST(`{name}` AS STRING), {sqltext.value(mode)}) AS `cat__{name}`")
     stages: list[Transformer] = [SQLTransformer(statement=f"SELECT *, {', '.join(items)} FROM __THIS__")]
     inputs = [f"num__{c}" for c in values.numeric]
     if coded:

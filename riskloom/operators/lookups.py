@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskloom.functions import sqltext
 from riskloom.functions.codes import code_number, group_pairs
 from riskloom.schema import ICD_RANGES, ICD_WHOLE_CODES
 
@@ -56,7 +57,7 @@ def icd_category_join(df: DataFrame, code: str, out: str) -> DataFrame:
     The dimension is fixed at under 1,000 rows, so it is always broadcast.
     """
     dim = icd_code_dim(df.sparkSession).withColumnRenamed("code", "_code")
-    number = code_number(F.col(code))
+    number = F.expr(code_number(sqltext.name(code)))
     keyed = df.withColumn("_number", number).withColumn(
         "_whole", F.when(F.abs("_number") < 1e6, F.col("_number").cast("bigint"))
     )

@@ -36,3 +36,17 @@ def settle(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings the wide feature projections profit from.
+
+    The JIT compiler skips methods above 8,000 bytes of bytecode, so a generated method
+    beyond that would run interpreted; below the limit Spark splits such a projection
+    into compilable pieces instead.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark

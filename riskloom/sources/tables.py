@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from riskloom.functions import sqltext
 from riskloom.schema import MISSING_MARKERS, contract_schema, raw_type
 
 
-def null_markers(column: Column, markers: Iterable[str] = MISSING_MARKERS) -> Column:
-    """Text column with every missing marker turned into null."""
-    return F.when(~F.trim(column).isin(*markers), column)
+def null_markers(column: str, markers: Iterable[str] = MISSING_MARKERS) -> str:
+    """SQL text of a text column with every missing marker turned into null."""
+    column = sqltext.name(column)
+    return f"IF({column} IN ({sqltext.values(markers)}), NULL, {column})"
 
 
 def type_raw_columns(df: DataFrame) -> DataFrame:
     """Null the markers of an all-text scan and give every column its type."""
     out = []
-    for name in df.columns:
-        text = null_markers(F.col(f"`{name}`"))
-        kind = raw_type(name)
-        if isinstance(kind, T.LongType):
+    for column in df.columns:
+        text = null_markers(column)
+        if isinstance(raw_type(column), T.LongType):
             # "5" and "5.0" are both accepted; other text is missing.
-            text = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
-        out.append(text.alias(name))
-    return df.select(*out)
+            text = f"coalesce(try_cast({text} AS BIGINT), try_cast(try_cast({text} AS DOUBLE) AS BIGINT))"
+        out.append(f"{text} AS {sqltext.name(column)}")
+    return df.selectExpr(*out)
 
 
 def load_raw_data(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
