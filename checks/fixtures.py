@@ -97,20 +97,13 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First encounters with features, target and their key."""
-    first = cleaning.deduplicate_patients(encounters(spark, sf_dir))
-    return cleaning.clean_data(features.run_feature_engineering(first), keep=["encounter_id"])
-
-
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed-form scores: ``encounter_id, y, p, gender, race, age_ordinal, admission_type_id``."""
-    e = encounters(spark, sf_dir)
+def scored_from(encounters: DataFrame) -> DataFrame:
+    """Closed-form scores: ``encounter_id, y, p`` and the group columns."""
     margin = (
         "-3.0D + 0.45D * number_inpatient + 0.3D * number_emergency "
         "+ 0.04D * time_in_hospital + 0.01D * (encounter_id % 11)"
     )
-    return features.engineer_age_ordinal(e).selectExpr(
+    return features.engineer_age_ordinal(encounters).selectExpr(
         "encounter_id",
         "int(readmitted <=> '<30') AS y",
         f"round(1 / (1 + exp(-({margin}))), 6) AS p",
@@ -121,10 +114,20 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def drift_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Reference and current encounters; the stay of the current side is two days longer."""
-    e = features.run_feature_engineering(encounters(spark, sf_dir))
-    e = cleaning.clean_data(e, keep=["encounter_id"]).select("encounter_id", *NUMERIC_FEATURES)
+def two_models_from(encounters: DataFrame) -> DataFrame:
+    """Long scores of two closed-form models: ``encounter_id, model, y, p``."""
+    return encounters.selectExpr(
+        "encounter_id",
+        "int(readmitted <=> '<30') AS y",
+        "round(1 / (1 + exp(-(-3.0D + 0.45D * number_inpatient + 0.3D * number_emergency))), 6) AS first",
+        "round(1 / (1 + exp(-(-1.0D + 0.5D * number_inpatient + 0.02D * time_in_hospital))), 6) AS second",
+    ).unpivot(["encounter_id", "y"], ["first", "second"], "model", "p")
+
+
+def sides_from(encounters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reference and current rows; the stay of the current side is two days longer."""
+    e = cleaning.clean_data(features.run_feature_engineering(encounters), keep=["encounter_id"])
+    e = e.select("encounter_id", *NUMERIC_FEATURES)
     current = F.col("encounter_id") % 3 == 0
     return (
         e.filter(~current),

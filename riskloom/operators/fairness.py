@@ -106,3 +106,8 @@ def gap_violations(gaps: DataFrame, gates: QualityGates) -> DataFrame:
         "Subgroup recall gap [%s] %.4f above maximum %.4f", "group_column", MAX_GAP, F.lit(float(limit))
     )
     return gaps.filter(F.col(MAX_GAP) > limit).select("group_column", MAX_GAP, text.alias("message"))
+
+
+def align_by_key(predictions: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Predictions beside their group columns, matched by row key rather than position."""
+    return predictions.join(groups, key, "inner")
