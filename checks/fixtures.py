@@ -114,14 +114,14 @@ def scored_from(encounters: DataFrame) -> DataFrame:
     )
 
 
-def two_models_from(encounters: DataFrame) -> DataFrame:
-    """Long scores of two closed-form models: ``encounter_id, model, y, p``."""
+def two_scores_from(encounters: DataFrame) -> DataFrame:
+    """Scores of two closed-form models: ``encounter_id, y, first, second``."""
     return encounters.selectExpr(
         "encounter_id",
         "int(readmitted <=> '<30') AS y",
         "round(1 / (1 + exp(-(-3.0D + 0.45D * number_inpatient + 0.3D * number_emergency))), 6) AS first",
         "round(1 / (1 + exp(-(-1.0D + 0.5D * number_inpatient + 0.02D * time_in_hospital))), 6) AS second",
-    ).unpivot(["encounter_id", "y"], ["first", "second"], "model", "p")
+    )
 
 
 def sides_from(encounters: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -408,8 +408,9 @@ SELECT c.encounter_id, 'cat__' || c.feature || '_' || c.value AS feature, 1 AS v
 FROM cells c JOIN levels l ON l.feature = c.feature AND l.value = c.value"""
 
 
-FOLDS = f"""WITH {ENC}, {TWO}, {split_rank('two', 'y')},
-folded AS (SELECT model, p, y, {FOLD.replace('place', '(place)')} AS fold FROM ranked),
+FOLDS = f"""WITH {ENC}, {SCORED}, {TWO}, {split_rank('scored', 'y')},
+folded AS (SELECT t.model, t.p, t.y, {FOLD} AS fold
+  FROM ranked r JOIN two t ON r.encounter_id = t.encounter_id),
 {curve('folded', 'model, fold')},
 fm AS (SELECT model, fold, {AUC} AS roc_auc, {AP} AS pr_auc FROM cum GROUP BY model, fold)"""
 
@@ -426,7 +427,7 @@ FEATS = ", ".join(
 
 ORACLES: dict[str, str] = {
     "csv_scan": f"{W_ENC} SELECT * FROM enc",
-    "scored_csv_sink": f"""{W_SCORED} SELECT encounter_id, {r6('round(p, 4)')} AS risk_score,
+    "scored_csv_sink": f"""{W_SCORED} SELECT encounter_id, {r6('round_even(p * 10000, 0) / 10000')} AS risk_score,
         CASE WHEN p < 0.3 THEN 'Low' WHEN p < 0.6 THEN 'Medium' ELSE 'High' END AS risk_tier FROM scored""",
     "preview_rows": f"""{W_ENC} SELECT encounter_id, patient_nbr, race, gender, age, diag_1, readmitted
         FROM enc ORDER BY encounter_id LIMIT 10""",
@@ -471,7 +472,7 @@ ORACLES: dict[str, str] = {
         admission_source_grouped FROM feat""",
     "feature_chain": f"{ROWS} SELECT encounter_id, readmitted, {FEATS} FROM feat",
     "risk_tiers": f"""{W_SCORED} SELECT encounter_id, CASE WHEN p < 0.3 THEN 'Low' WHEN p < 0.6 THEN 'Medium'
-        ELSE 'High' END AS risk_tier, (p >= {CUT})::int AS readmitted, {r6('round(p, 4)')} AS risk_score FROM scored""",
+        ELSE 'High' END AS risk_tier, (p >= {CUT})::int AS readmitted, {r6('round_even(p * 10000, 0) / 10000')} AS risk_score FROM scored""",
     "run_fingerprint": ROWS + """ SELECT substr(sha256('{"n_train_samples":' || count(*) || ',"positives":'
         || sum(readmitted) || '}'), 1, 12) AS fingerprint FROM feat""",
     "readmission_by_diagnosis": f"""{ROWS} SELECT diag1_category, count(*) AS encounters,
@@ -505,7 +506,7 @@ ORACLES: dict[str, str] = {
         SELECT * FROM ({long('enc', ['readmitted', 'race', 'gender'], kind='varchar')}) WHERE value IS NOT NULL) GROUP BY ALL)
         SELECT feature, value, n, {r6('n / sum(n) OVER (PARTITION BY feature) * 100')} AS pct FROM vals""",
     "group_rates": f"""{W_ENC}, rates AS (SELECT group_column, group_value, y FROM (
-        SELECT '*' AS group_column, 'all' AS group_value, (readmitted = '<30')::int AS y FROM enc
+        SELECT 'overall' AS group_column, 'all' AS group_value, (readmitted = '<30')::int AS y FROM enc
         UNION ALL SELECT 'race', race, (readmitted = '<30')::int FROM enc
         UNION ALL SELECT 'gender', gender, (readmitted = '<30')::int FROM enc
         UNION ALL SELECT 'age', age, (readmitted = '<30')::int FROM enc) WHERE group_value IS NOT NULL)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from checks import fixtures
 from riskloom.config import QualityGates, TrainingConfig
 from riskloom.functions.codes import icd9_category
-from riskloom.functions.scoring import decision, risk_tier
+from riskloom.functions.scoring import decision, risk_tier, round_score
 from riskloom.operators import (
     attribution, cleaning, counts, drift, encoding, fairness, features, lookups, profiling,
     scores, splits,
@@ -61,8 +61,11 @@ class Inputs:
     def scored(self) -> DataFrame:
         return fixtures.scored_from(self.encounters())
 
+    def two_scores(self) -> DataFrame:
+        return fixtures.two_scores_from(self.encounters())
+
     def two_models(self) -> DataFrame:
-        return fixtures.two_models_from(self.encounters())
+        return self.two_scores().unpivot([KEY, "y"], ["first", "second"], "model", "p")
 
     def sides(self) -> tuple[DataFrame, DataFrame]:
         return fixtures.sides_from(self.encounters())
@@ -110,7 +113,7 @@ def csv_scan(t):
 def scored_csv_sink(t):
     """Scored rows through the CSV sink and back through the typed scan."""
     path = scratch_path(t.spark, "scored-csv")
-    s = t.scored().select(KEY, F.round("p", 4).alias("risk_score"), risk_tier(F.col("p")).alias("risk_tier"))
+    s = t.scored().select(KEY, round_score(F.col("p")).alias("risk_score"), risk_tier(F.col("p")).alias("risk_tier"))
     tables.write_csv(s, path)
     return t.spark.read.schema(s.schema).option("header", True).csv(path)
 
@@ -278,7 +281,7 @@ def feature_chain(t):
 def risk_tiers(t):
     return t.scored().select(
         KEY, risk_tier(F.col("p")).alias("risk_tier"), decision(F.col("p"), CUT).alias("readmitted"),
-        F.round("p", 4).alias("risk_score"),
+        round_score(F.col("p")).alias("risk_score"),
     )
 
 
@@ -419,7 +422,8 @@ def fold_metrics(t):
 
 
 def _fold_metrics(t: Inputs) -> DataFrame:
-    pooled = settle(splits.assign_folds(t.two_models(), KEY, "y", 5))
+    folded = splits.assign_folds(t.two_scores(), KEY, "y", 5)
+    pooled = folded.unpivot([KEY, "y", "fold"], ["first", "second"], "model", "p")
     return scores.compute_metrics(pooled, group=["model", "fold"]).select("model", "fold", "roc_auc", "pr_auc")
 
 

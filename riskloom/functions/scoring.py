@@ -16,6 +16,12 @@ def decision(score: Column, threshold: float | Column) -> Column:
     return (score >= cut).cast("int")
 
 
+def round_score(score: Column, digits: int = 4) -> Column:
+    """Score to a fixed number of decimals, halves of the scaled value to even."""
+    scale = float(10**digits)
+    return F.rint(score * F.lit(scale)) / F.lit(scale)
+
+
 def ratio_or_zero(num: Column, den: Column) -> Column:
     """``num / den`` with 0 for an empty denominator."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))

@@ -24,7 +24,7 @@ from riskloom.session import settle
 # The fitted vocabulary lives on the driver and in the model, so a column with more
 # levels than this is refused rather than cut.
 MAX_LEVELS = 100_000
-_ROWS = "*"
+_ROWS = "_rows"
 
 
 def _counts_with_rows(df: DataFrame, columns: list[str]) -> DataFrame:

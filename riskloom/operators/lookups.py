@@ -41,7 +41,7 @@ def icd_code_dim(spark: SparkSession) -> DataFrame:
     only without a fraction.
     """
     ranges = spark.createDataFrame(ICD_RANGES, "low int, high int, grp string").select(
-        F.explode(F.sequence("low", "high")).cast("bigint").alias("code"),
+        F.explode(F.sequence(F.col("low").cast("bigint"), F.col("high").cast("bigint"))).alias("code"),
         "grp",
         F.lit(False).alias("whole_only"),
     )

@@ -13,6 +13,8 @@ from riskloom.operators.running import SMALL_ROWS
 from riskloom.schema import RISK_TIERS
 from riskloom.session import settle
 
+OVERALL = "overall"
+
 
 def null_report(df: DataFrame) -> DataFrame:
     """``(column, n_missing, pct)`` of columns with missing values, two decimals."""
@@ -87,16 +89,16 @@ def value_shares(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def group_rates(df: DataFrame, columns: Iterable[str], target: str) -> DataFrame:
     """Target rate in percent per group of each column, and overall, in one scan.
 
-    The row with column ``*`` is the overall rate. Null groups are left out.
+    The row with column ``overall`` is the rate of all rows. Null groups are left out.
     """
     columns = list(columns)
     wide = df.select(
         F.col(target).cast("bigint").alias("_y"),
-        F.lit("all").alias("*"),
+        F.lit("all").alias(OVERALL),
         *[F.col(c).cast("string").alias(c) for c in columns],
     )
     return (
-        wide.unpivot(["_y"], ["*", *columns], "group_column", "group_value")
+        wide.unpivot(["_y"], [OVERALL, *columns], "group_column", "group_value")
         .filter(F.col("group_value").isNotNull())
         .groupBy("group_column", "group_value")
         .agg(F.count("_y").alias("n"), (F.avg("_y") * 100).alias("rate_pct"))

@@ -10,7 +10,7 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.functions.scoring import decision, risk_tier
+from riskloom.functions.scoring import decision, risk_tier, round_score
 from riskloom.operators import attribution, drift
 from riskloom.operators.cleaning import fill_contract
 from riskloom.operators.encoding import feature_names
@@ -90,7 +90,7 @@ class Scorer:
         # The tier and the decision use the unrounded score.
         return scored.select(
             *[F.col(f"_keep_{c}").alias(c) for c in keep],
-            F.round("p", 4).alias("risk_score"),
+            round_score(F.col("p")).alias("risk_score"),
             risk_tier(F.col("p")).alias("risk_tier"),
             decision(F.col("p"), self.threshold).alias("readmitted"),
             reasons.alias("top_reasons"),
