@@ -55,8 +55,7 @@ class Inputs:
         return fixtures.encounters(self.spark, self.sf_dir)
 
     def model_rows(self) -> DataFrame:
-        first = cleaning.deduplicate_patients(self.encounters())
-        return cleaning.clean_data(features.run_feature_engineering(first), keep=[KEY])
+        return training.prepare(self.encounters())
 
     def scored(self) -> DataFrame:
         return fixtures.scored_from(self.encounters())
@@ -333,7 +332,7 @@ def vocabulary(t):
 @query
 def one_hot_long(t):
     """Encoder fitted on training rows, categories of all rows in long form."""
-    rows = settle(splits.assign_splits(t.model_rows(), KEY))
+    rows = splits.assign_splits(settle(t.model_rows()), KEY)
     encoder = encoding.TabularEncoder([], CATEGORICAL_FEATURES).fit(rows.filter("split = 'train'"))
     encoded = encoding.encode(encoder, rows, [KEY])
     return encoding.long_features(encoded, encoding.feature_names(encoder), KEY).select(
@@ -422,7 +421,7 @@ def fold_metrics(t):
 
 
 def _fold_metrics(t: Inputs) -> DataFrame:
-    folded = splits.assign_folds(t.two_scores(), KEY, "y", 5)
+    folded = splits.assign_folds(settle(t.two_scores()), KEY, "y", 5)
     pooled = folded.unpivot([KEY, "y", "fold"], ["first", "second"], "model", "p")
     return scores.compute_metrics(pooled, group=["model", "fold"]).select("model", "fold", "roc_auc", "pr_auc")
 
@@ -561,18 +560,18 @@ def model_comparison(t):
 
 @query
 def stratified_split(t):
-    return splits.assign_splits(t.model_rows(), KEY).select(KEY, TARGET, "split")
+    return splits.assign_splits(settle(t.model_rows().select(KEY, TARGET)), KEY).select(KEY, TARGET, "split")
 
 
 @query
 def train_and_validation_rows(t):
-    train, val, _ = splits.split_data(t.model_rows().select(KEY, TARGET, "race"), KEY)
+    train, val, _ = splits.split_data(settle(t.model_rows().select(KEY, TARGET, "race")), KEY)
     return splits.concat([train, val])
 
 
 @query
 def stratified_folds(t):
-    return splits.assign_folds(t.model_rows(), KEY).select(KEY, TARGET, "fold")
+    return splits.assign_folds(settle(t.model_rows().select(KEY, TARGET)), KEY).select(KEY, TARGET, "fold")
 
 
 @query
@@ -666,7 +665,7 @@ BOOSTED = models.Candidate(
 
 
 def _encoded(t: Inputs):
-    rows = settle(splits.assign_splits(t.model_rows(), KEY))
+    rows = splits.assign_splits(settle(t.model_rows()), KEY)
     encoder = encoding.TabularEncoder().fit(rows.filter("split = 'train'"))
     return rows, encoder, settle(encoding.encode(encoder, rows, [KEY, TARGET, "split"]))
 

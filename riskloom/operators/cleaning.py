@@ -12,17 +12,17 @@ DROPPED_COLUMNS = ("encounter_id", "patient_nbr", "weight", "payer_code")
 
 
 def deduplicate_patients(
-    df: DataFrame, patient: str = "patient_nbr", encounter: str = "encounter_id"
+    df: DataFrame, patient: str = "patient_nbr", encounter: str = "encounter_id",
+    ties: Iterable[str] = (),
 ) -> DataFrame:
     """First encounter of every patient.
 
     The rank filter becomes a per-task group limit ahead of the shuffle, so a patient
-    with very many encounters sends at most one row per map task. Rows sharing both
-    ids are ordered by a hash of the row, which keeps a re-run task's pick the same.
+    with very many encounters sends at most one row per map task. Encounter ids are
+    unique; where a source repeats them, ``ties`` names columns that settle the order.
+    Only the columns used later are read and shuffled.
     """
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in (patient, encounter)]
-    tie = F.xxhash64(*rest) if rest else F.lit(0)
-    first = Window.partitionBy(patient).orderBy(F.col(encounter).asc_nulls_last(), tie)
+    first = Window.partitionBy(patient).orderBy(F.col(encounter).asc_nulls_last(), *ties)
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 

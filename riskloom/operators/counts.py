@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.functions import sqltext
 from riskloom.operators.running import SMALL_ROWS, running_totals
 
 
@@ -81,15 +82,58 @@ def order_statistics(
     return placed.groupBy("feature", "total").agg(*picks).select("feature", "total", *out)
 
 
-def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Index of the equal-width bin; the last bin is closed on the right.
+def column_ranges(df: DataFrame, columns: Iterable[str]) -> dict[str, tuple[float, float, int]]:
+    """Smallest and largest value and number of values of each column, by one wide aggregate.
 
-    Edges are ``low + i * step`` with the step computed first, and the last edge is
-    exactly ``high``. The quotient is corrected by one bin against those edges, so
-    that rounding in the division never moves a value across an edge.
+    Columns without any value are left out. NaN counts as missing.
     """
-    step = (high - low) / F.lit(float(bins))
-    guess = F.least(F.greatest(F.floor((value - low) / step), F.lit(0)), F.lit(bins - 1))
-    down = guess - F.when((guess > 0) & (value < low + guess * step), 1).otherwise(0)
-    up = down + F.when((down < bins - 1) & (value >= low + (down + 1) * step), 1).otherwise(0)
-    return up.cast("int")
+    columns = list(columns)
+    aggregates = []
+    for i, c in enumerate(columns):
+        v = f"nanvl(double({sqltext.name(c)}), NULL)"
+        aggregates += [
+            F.expr(f"min({v})").alias(f"lo{i}"),
+            F.expr(f"max({v})").alias(f"hi{i}"),
+            F.expr(f"count({v})").alias(f"n{i}"),
+        ]
+    row = df.agg(*aggregates).first()
+    return {
+        c: (row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"])
+        for i, c in enumerate(columns)
+        if row[f"n{i}"]
+    }
+
+
+def bin_counts(
+    df: DataFrame, ranges: Mapping[str, tuple[float, float]], bins: int,
+    measures: Mapping[str, Column] | None = None, keep: Iterable[str] = (),
+) -> DataFrame:
+    """``(feature, bin, n)`` of equal-width bins with known ranges.
+
+    Every value becomes its bin number before the unpivot, so the shuffle carries at most
+    features x bins rows per task however many distinct values there are.
+    """
+    keep = list(keep)
+    measures = measures or {"n": F.count(F.lit(1))}
+    placed = []
+    for c, (low, high) in ranges.items():
+        v = f"nanvl(double({sqltext.name(c)}), NULL)"
+        step = (high - low) / bins
+        edges = [] if low == high else [low + i * step for i in range(1, bins)]
+        index = " + ".join(f"int({v} >= {sqltext.value(e)})" for e in edges) or "0"
+        placed.append(f"IF({v} IS NULL, NULL, {index}) AS {sqltext.name(c)}")
+    long = df.selectExpr(*keep, *placed).unpivot(keep, list(ranges), "feature", "bin")
+    return long.filter(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
+        *[m.cast("bigint").alias(name) for name, m in measures.items()]
+    )
+
+
+def equal_width_bin(value: str, low: str, high: str, bins: int) -> Column:
+    """Index of the equal-width bin: how many inner edges lie at or below the value.
+
+    Edges are ``low + i * step`` with the step computed first; the last bin is closed on
+    the right. A range of a single value has one bin, number 0.
+    """
+    step = f"(({high} - {low}) / {float(bins)}D)"
+    inner = f"filter(sequence(1, {bins - 1}), i -> {value} >= {low} + i * {step})"
+    return F.expr(f"IF({low} = {high} OR {bins} = 1, 0, size({inner}))")

@@ -10,7 +10,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.operators.counts import equal_width_bin, numeric_counts
+from riskloom.functions import sqltext
+from riskloom.operators.counts import (
+    bin_counts, column_ranges, equal_width_bin, numeric_counts,
+)
 from riskloom.operators.running import SMALL_ROWS, running_totals
 from riskloom.schema import NUMERIC_FEATURES
 from riskloom.session import settle
@@ -29,6 +32,23 @@ def shared_features(
     return [f for f in (features or NUMERIC_FEATURES) if f in reference.columns and f in current.columns]
 
 
+def _both_sides(reference: DataFrame, current: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of both tables with a side marker, features as doubles."""
+    def side(df: DataFrame, number: int) -> DataFrame:
+        return df.selectExpr(
+            f"{number} AS _side", *[f"double({sqltext.name(c)}) AS {sqltext.name(c)}" for c in names]
+        )
+
+    return side(reference, 0).unionByName(side(current, 1))
+
+
+def _side_measures() -> dict[str, Column]:
+    return {
+        "n_ref": F.count_if(F.col("_side") == 0),
+        "n_cur": F.count_if(F.col("_side") == 1),
+    }
+
+
 def paired_counts(
     reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None
 ) -> DataFrame:
@@ -38,17 +58,28 @@ def paired_counts(
         return reference.sparkSession.createDataFrame(
             [], "feature string, value double, n_ref bigint, n_cur bigint"
         )
-    both = (
-        reference.select(F.lit(0).alias("_side"), *[F.col(f"`{c}`").cast("double") for c in names])
-        .unionByName(
-            current.select(F.lit(1).alias("_side"), *[F.col(f"`{c}`").cast("double") for c in names])
-        )
-    )
-    return numeric_counts(
-        both,
-        names,
-        {"n_ref": F.count_if(F.col("_side") == 0), "n_cur": F.count_if(F.col("_side") == 1)},
-        keep=["_side"],
+    both = _both_sides(reference, current, names)
+    return numeric_counts(both, names, _side_measures(), keep=["_side"])
+
+
+def reference_counts(reference: DataFrame, features: Iterable[str] | None = None) -> DataFrame:
+    """Reference half of the paired counts, kept for repeated checks against it."""
+    names = [f for f in (features or NUMERIC_FEATURES) if f in reference.columns]
+    return settle(numeric_counts(reference, names))
+
+
+def add_current(
+    stored: DataFrame, current: DataFrame, features: Iterable[str] | None = None
+) -> DataFrame:
+    """Paired counts of stored reference counts and a current table."""
+    names = [f for f in (features or NUMERIC_FEATURES) if f in current.columns]
+    old = stored.filter(F.col("feature").isin(names)).withColumn("_side", F.lit(0))
+    both = old.unionByName(numeric_counts(current, names).withColumn("_side", F.lit(1)))
+    return both.groupBy("feature", "value").agg(
+        *[
+            F.sum(F.when(F.col("_side") == side, F.col("n")).otherwise(0)).alias(name)
+            for side, name in enumerate(("n_ref", "n_cur"))
+        ]
     )
 
 
@@ -70,15 +101,20 @@ def psi_from_counts(pairs: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     """``(feature, psi)`` over equal bins of the combined range."""
     totals = _feature_totals(pairs)
     placed = pairs.join(F.broadcast(totals), "feature").withColumn(
-        "bin",
-        F.when(F.col("lo") == F.col("hi"), F.lit(0)).otherwise(
-            equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins)
-        ),
+        "bin", equal_width_bin("value", "lo", "hi", bins)
     )
-    filled = placed.groupBy("feature", "bin").agg(
+    filled = placed.groupBy("feature", "bin", "total_ref", "total_cur").agg(
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
     )
-    # A bin that is empty on both sides adds nothing: both shares are the floor.
+    return _psi_of_bins(filled)
+
+
+def _psi_of_bins(bins: DataFrame) -> DataFrame:
+    """PSI from ``(feature, n_ref, n_cur, total_ref, total_cur)`` per filled bin.
+
+    A bin that is empty on both sides adds nothing: both shares are the floor. A constant
+    feature has a single bin, full on both sides, and so 0.
+    """
     share = {
         side: F.when(F.col(f"n_{side}") == 0, F.lit(PSI_FLOOR)).otherwise(
             F.col(f"n_{side}") / F.col(f"total_{side}")
@@ -86,13 +122,7 @@ def psi_from_counts(pairs: DataFrame, bins: int = PSI_BINS) -> DataFrame:
         for side in ("ref", "cur")
     }
     term = (share["cur"] - share["ref"]) * F.ln(share["cur"] / share["ref"])
-    return (
-        filled.join(F.broadcast(totals), "feature")
-        .groupBy("feature")
-        .agg(
-            F.sum(F.when(F.col("lo") == F.col("hi"), F.lit(0.0)).otherwise(term)).alias("psi")
-        )
-    )
+    return bins.groupBy("feature").agg(F.sum(term).alias("psi"))
 
 
 def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
@@ -140,7 +170,25 @@ def compute_psi(
     reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None,
     bins: int = PSI_BINS,
 ) -> DataFrame:
-    return psi_from_counts(paired_counts(reference, current, features), bins)
+    """PSI on its own: extremes by one wide aggregate per side, then bin counts.
+
+    Needs no distinct values, so continuous features cost no more than counts.
+    """
+    names = shared_features(reference, current, features)
+    old, new = column_ranges(reference, names), column_ranges(current, names)
+    both = [c for c in names if c in old and c in new]
+    spark = reference.sparkSession
+    if not both:
+        return spark.createDataFrame([], "feature string, psi double")
+    ranges = {c: (min(old[c][0], new[c][0]), max(old[c][1], new[c][1])) for c in both}
+    counted = bin_counts(
+        _both_sides(reference, current, both), ranges, bins, _side_measures(), keep=["_side"]
+    )
+    sizes = spark.createDataFrame(
+        [(c, old[c][2], new[c][2]) for c in both],
+        "feature string, total_ref bigint, total_cur bigint",
+    )
+    return _psi_of_bins(counted.join(F.broadcast(sizes), "feature"))  # a row per feature
 
 
 def compute_ks_tests(
@@ -161,6 +209,14 @@ def detect_drift(
 ) -> DataFrame:
     """One row per shared feature: scores, both flags, and their union."""
     pairs = settle(paired_counts(reference, current, features))
+    return drift_from_counts(pairs, psi_threshold, ks_alpha, bins, small_rows)
+
+
+def drift_from_counts(
+    pairs: DataFrame, psi_threshold: float = PSI_LIMIT, ks_alpha: float = KS_ALPHA,
+    bins: int = PSI_BINS, small_rows: int = SMALL_ROWS,
+) -> DataFrame:
+    """Drift report of settled paired counts."""
     joined = psi_from_counts(pairs, bins).join(
         F.broadcast(ks_from_counts(pairs, small_rows, settled=True)), "feature"
     )

@@ -109,34 +109,25 @@ def group_rates(df: DataFrame, columns: Iterable[str], target: str) -> DataFrame
 def histogram(df: DataFrame, columns: Iterable[str], bins: int = 30) -> DataFrame:
     """``(feature, bin, low, high, n)`` over equal bins between each column's extremes.
 
-    Raw rows are read once; extremes and bins come from the distinct values. A constant
+    One wide aggregate finds the extremes, a second pass counts bin numbers. A constant
     column is widened by one half on both sides.
     """
-    table = settle(counts.numeric_counts(df, columns))
-    extremes = (
-        table.groupBy("feature")
-        .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .select(
-            "feature",
-            F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        )
-    )
-    placed = table.join(F.broadcast(extremes), "feature").withColumn(
-        "bin", counts.equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins)
-    )
-    filled = placed.groupBy("feature", "bin").agg(F.sum("n").alias("n"))
-    # features x bins rows
-    grid = extremes.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    ranges = {
+        c: (lo, hi) if lo < hi else (lo - 0.5, hi + 0.5)
+        for c, (lo, hi, _) in counts.column_ranges(df, columns).items()
+    }
+    edges = []
+    for c, (lo, hi) in ranges.items():
+        step = (hi - lo) / bins
+        cuts = [lo + i * step for i in range(bins)] + [hi]
+        edges += [(c, i, cuts[i], cuts[i + 1]) for i in range(bins)]
+    grid = df.sparkSession.createDataFrame(edges, "feature string, bin int, low double, high double")
+    if not ranges:
+        return grid.withColumn("n", F.lit(0).cast("bigint"))
+    filled = counts.bin_counts(df, ranges, bins)
+    # Both sides hold at most columns x bins rows.
     return grid.join(F.broadcast(filled), ["feature", "bin"], "left").select(
-        "feature",
-        "bin",
-        (F.col("lo") + F.col("bin") * step).alias("low"),
-        F.when(F.col("bin") == bins - 1, F.col("hi"))
-        .otherwise(F.col("lo") + (F.col("bin") + 1) * step)
-        .alias("high"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "feature", "bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n")
     )
 
 

@@ -17,6 +17,9 @@ from riskloom.session import settle
 SMALL_ROWS = 500_000
 RANGE_ROWS = 250_000
 MAX_RANGES = 2_000
+# Bounds what is broadcast: at most this many (group, range) pairs.
+MAX_PAIRS = 200_000
+MAX_GROUPS = 10_000
 
 
 def running_totals(
@@ -36,19 +39,23 @@ def running_totals(
     """
     sums, group = list(sums), list(group)
     df = df if settled else settle(df)
-    rows = df.count()
+    groups = F.approx_count_distinct(F.struct(*group)) if group else F.lit(1)
+    size = df.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
+    if size["groups"] > MAX_GROUPS:
+        raise ValueError(f"about {size['groups']} groups in {group}; expected names, not keys")
+    rows = size["rows"]
     if rows <= small_rows:
         window = Window.partitionBy(*group).orderBy(order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
         return df.withColumns({f"cum_{c}": F.sum(c).over(window) for c in sums})
-    return _ranged_totals(df, rows, order, sums, group, range_rows)
+    ranges = min(MAX_RANGES, math.ceil(rows / range_rows), MAX_PAIRS // max(size["groups"], 1))
+    return _ranged_totals(df, max(2, ranges), order, sums, group)
 
 
 def _ranged_totals(
-    df: DataFrame, rows: int, order: str, sums: list[str], group: list[str], range_rows: int
+    df: DataFrame, ranges: int, order: str, sums: list[str], group: list[str]
 ) -> DataFrame:
-    ranges = min(MAX_RANGES, max(2, math.ceil(rows / range_rows)))
     shares = [i / ranges for i in range(1, ranges)]
     key = F.struct(*group) if group else F.lit(0)
     # Approximate cut points are enough: they only balance the ranges. They are read

@@ -21,9 +21,13 @@ KEY = "encounter_id"
 
 
 def prepare(raw: DataFrame) -> DataFrame:
-    """Checked, deduplicated, engineered and cleaned rows, keyed by encounter."""
-    first = cleaning.deduplicate_patients(validate_data(raw))
-    return cleaning.clean_data(features.run_feature_engineering(first), keep=[KEY])
+    """Checked, engineered, deduplicated and cleaned rows, keyed by encounter.
+
+    Features depend on one row only, so they are computed ahead of the deduplication:
+    its shuffle then carries the model columns instead of all raw ones.
+    """
+    engineered = features.run_feature_engineering(validate_data(raw))
+    return cleaning.clean_data(cleaning.deduplicate_patients(engineered), keep=[KEY])
 
 
 def fingerprint(

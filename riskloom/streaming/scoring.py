@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.operators import drift
 from riskloom.plans.scoring import Scorer
 from riskloom.schema import contract_schema
-from riskloom.session import scratch_path
+from riskloom.session import scratch_path, settle
 from riskloom.sources.checks import split_valid
 
 
@@ -52,10 +52,13 @@ def drift_stream(
     """Drift report of every micro-batch, one folder per batch so that a retry replaces it."""
     checkpoint = checkpoint or scratch_path(current.sparkSession, "drift-stream")
     names = list(features) if features is not None else None
+    # The reference is read once; every batch only counts its own rows.
+    stored = drift.reference_counts(reference, names)
 
     def report(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            drift.detect_drift(reference, batch, names).write.mode("overwrite").parquet(
+            pairs = settle(drift.add_current(stored, batch, names))
+            drift.drift_from_counts(pairs).write.mode("overwrite").parquet(
                 f"{out.rstrip('/')}/batch={number}"
             )
 
