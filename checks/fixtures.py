@@ -124,10 +124,14 @@ def two_scores_from(encounters: DataFrame) -> DataFrame:
     )
 
 
-def sides_from(encounters: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Reference and current rows; the stay of the current side is two days longer."""
+def numeric_rows(encounters: DataFrame) -> DataFrame:
+    """Key and numeric features of every encounter."""
     e = cleaning.clean_data(features.run_feature_engineering(encounters), keep=["encounter_id"])
-    e = e.select("encounter_id", *NUMERIC_FEATURES)
+    return e.select("encounter_id", *NUMERIC_FEATURES)
+
+
+def sides_of(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reference and current rows; the stay of the current side is two days longer."""
     current = F.col("encounter_id") % 3 == 0
     return (
         e.filter(~current),

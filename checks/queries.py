@@ -67,7 +67,8 @@ class Inputs:
         return self.two_scores().unpivot([KEY, "y"], ["first", "second"], "model", "p")
 
     def sides(self) -> tuple[DataFrame, DataFrame]:
-        return fixtures.sides_from(self.encounters())
+        """Reference and current rows, stored first as real snapshots are."""
+        return fixtures.sides_of(settle(fixtures.numeric_rows(self.encounters())))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
