@@ -751,6 +751,15 @@ def tree_contributions(t):
     )
 
 
+@query
+def training_run(t):
+    """The whole training job with one candidate: its run table."""
+    out = scratch_path(t.spark, "artifacts")
+    config = TrainingConfig(models=("logistic_regression",), cv_folds=2, calibration_folds=2)
+    training.run_training(t.encounters(), out, config)
+    return t.spark.read.parquet(artifacts.ArtifactPaths(out).runs)
+
+
 def _scorer(t: Inputs) -> tuple[DataFrame, scoring.Scorer]:
     rows, encoder, encoded = _encoded(t)
     train, _ = _parts(encoded)

@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from riskloom.functions import sqltext
 from riskloom.functions.scoring import ratio_or_zero, risk_tier
 from riskloom.operators import counts
 from riskloom.operators.running import SMALL_ROWS
@@ -20,7 +21,7 @@ def null_report(df: DataFrame) -> DataFrame:
     """``(column, n_missing, pct)`` of columns with missing values, two decimals."""
     wide = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns],
+        *[F.expr(f"count(1) - count({sqltext.name(c)})").alias(c) for c in df.columns],
     )
     return (
         wide.unpivot(["_rows"], df.columns, "column", "n_missing")
