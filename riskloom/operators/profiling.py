@@ -141,13 +141,17 @@ def correlations(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     pairs = [(b, a) for a, b in combinations(columns, 2)]
     wide = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
 
-    row = wide.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    # corr() raises on a constant column under ANSI rules; the sums behind it do not.
+    row = wide.agg(
+        *[
+            F.try_divide(
+                F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
+            ).alias(f"r{i}")
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
     structs = [
-        F.struct(
-            F.lit(a).alias("a"),
-            F.lit(b).alias("b"),
-            F.when(~F.isnan(f"r{i}"), F.col(f"r{i}")).alias("r"),
-        )
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)
     ]
     return row.select(F.inline(F.array(*structs)))
