@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.config import QualityGates
 from riskloom.functions.scoring import ratio_or_zero
+from riskloom.session import settle
 
 MAX_GAP = "max_recall_gap"
 
@@ -52,7 +53,8 @@ def fairness_report(
     predictions: DataFrame, columns: Iterable[str], y: str = "y", yhat: str = "yhat"
 ) -> DataFrame:
     """Recall of every subgroup, and the gap of its column beside it."""
-    recalls = subgroup_recalls(predictions, columns, y, yhat)
+    # Settled, so that gaps and recalls come from one scan of the rows.
+    recalls = settle(subgroup_recalls(predictions, columns, y, yhat))
     # One row per column name.
     return recalls.join(F.broadcast(recall_gaps(recalls)), "group_column")
 

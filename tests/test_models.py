@@ -139,7 +139,7 @@ def vectors(spark):
     x = rng.normal(size=(300, 4))
     x[:, 3] = rng.integers(0, 2, 300)
     y = ((x[:, 0] > 0) & (x[:, 1] < 0.5) | (x[:, 3] == 1) & (x[:, 2] > 0.8)).astype(int)
-    pdf = pd.DataFrame({"id": range(300), "readmitted": y, "x": list(x)})
+    pdf = pd.DataFrame({"id": range(300), "readmitted": y, "x": x.tolist()})
     df = spark.createDataFrame(pdf).select("id", "readmitted", array_to_vector("x").alias("features"))
     return settle(df)
 
