@@ -21,7 +21,7 @@ from riskloom.schema import (
     ADMISSION_SOURCE_GROUPS, CATEGORICAL_FEATURES, MEDICATIONS, NUMERIC_FEATURES, RAW_COLUMNS,
     TARGET,
 )
-from riskloom.session import scratch_path, settle, tune
+from riskloom.session import scratch_path, settle, stored, tune
 from riskloom.sources import artifacts, checks as row_checks, tables
 from riskloom.streaming import scoring as streaming
 
@@ -666,9 +666,10 @@ BOOSTED = models.Candidate(
 
 
 def _encoded(t: Inputs):
-    rows = splits.assign_splits(settle(t.model_rows()), KEY)
+    rows = splits.assign_splits(stored(t.model_rows(), "prepared"), KEY)
     encoder = encoding.TabularEncoder().fit(rows.filter("split = 'train'"))
-    return rows, encoder, settle(encoding.encode(encoder, rows, [KEY, TARGET, "split"]))
+    encoded = encoding.encode(encoder, rows, [KEY, TARGET, "split"])
+    return rows, encoder, stored(encoded, "encoded", "split")
 
 
 def _parts(encoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -40,14 +40,39 @@ def median_table(
     return counts.order_statistics(table, {"median": 0.5}, small_rows).select("feature", "median")
 
 
+def _approximate_scaling(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Scaling values with sketched medians: two wide aggregates and no shuffle of values."""
+    values = [f"nanvl(double({sqltext.name(c)}), NULL)" for c in columns]
+    first = df.agg(
+        *[F.expr(f"percentile_approx({v}, 0.5, 10000)").alias(str(i)) for i, v in enumerate(values)]
+    ).first()
+    found = [i for i in range(len(columns)) if first[i] is not None]
+    filled = {i: f"coalesce({values[i]}, {sqltext.value(float(first[i]))})" for i in found}
+    second = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.expr(f"avg({v})").alias(f"mean{i}") for i, v in filled.items()],
+        *[F.expr(f"stddev_pop({v})").alias(f"scale{i}") for i, v in filled.items()],
+    ).first()
+    rows = [
+        (columns[i], float(first[i]), second[f"mean{i}"], second[f"scale{i}"] or 1.0) for i in found
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, median double, mean double, scale double"
+    )
+
+
 def scaling_table(
-    df: DataFrame, columns: Iterable[str], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Iterable[str], small_rows: int = SMALL_ROWS, exact: bool = True
 ) -> DataFrame:
     """``(feature, median, mean, scale)`` after median imputation.
 
-    ``scale`` is the population deviation, 1 where that is 0. One scan of the rows.
+    ``scale`` is the population deviation, 1 where that is 0. Exact medians need one scan
+    and a shuffle of the distinct values; ``exact=False`` sketches them, which suits
+    continuous columns of very large tables.
     """
     columns = list(columns)
+    if not exact:
+        return _approximate_scaling(df, columns)
     table = settle(_counts_with_rows(df, columns))
     stats = counts.order_statistics(table, {"median": 0.5}, small_rows, settled=True)
     rows = stats.filter(F.col("feature") == _ROWS).select(F.lit(1).alias("_one"), F.col("total").alias("_rows"))
@@ -102,13 +127,14 @@ class FittedValues:
 
 
 def fit_values(
-    df: DataFrame, numeric: Iterable[str], categorical: Iterable[str], small_rows: int = SMALL_ROWS
+    df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],
+    small_rows: int = SMALL_ROWS, exact: bool = True,
 ) -> FittedValues:
     """Learn medians, means, scales, modes and vocabularies from ``df``."""
     numeric, categorical = list(numeric), list(categorical)
     learned = {}
     if numeric:
-        for r in scaling_table(df, numeric, small_rows).collect():  # one row per column
+        for r in scaling_table(df, numeric, small_rows, exact).collect():  # one row per column
             learned[r["feature"]] = (r["median"], r["mean"], r["scale"])
     levels: dict[str, list[tuple[int, str]]] = {c: [] for c in categorical}
     if categorical:
@@ -168,12 +194,14 @@ class TabularEncoder(Estimator):
         numeric: Iterable[str] = NUMERIC_FEATURES,
         categorical: Iterable[str] = CATEGORICAL_FEATURES,
         output: str = "features",
+        exact: bool = True,
     ):
         super().__init__()
         self.numeric, self.categorical, self.output = list(numeric), list(categorical), output
+        self.exact = exact
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        values = fit_values(dataset, self.numeric, self.categorical)
+        values = fit_values(dataset, self.numeric, self.categorical, exact=self.exact)
         return build_encoder(values, dataset, self.output)
 
 

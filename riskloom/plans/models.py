@@ -146,8 +146,12 @@ def out_of_fold(
     df: DataFrame, fit: Fitter, key: str, label: str = TARGET, folds: int = 5, seed: int = 42,
     keep: Iterable[str] = (),
 ) -> DataFrame:
-    """``(key, fold, y, p, keep...)``: every row scored by the model that did not see it."""
-    assigned = settle(splits.assign_folds(df, key, label, folds, seed))
+    """``(key, fold, y, p, keep...)``: every row scored by the model that did not see it.
+
+    ``df`` is read once per fit, so it should be a stored table; the fold number is only a
+    comparison with constants on top of it.
+    """
+    assigned = splits.assign_folds(df, key, label, folds, seed)
     parts = []
     for fold in range(folds):
         model = fit(assigned.filter(F.col("fold") != fold).drop("fold"))
@@ -287,7 +291,7 @@ def fit_calibrated(
     df: DataFrame, candidate: Candidate, key: str, label: str = TARGET, folds: int = 3, seed: int = 42
 ) -> CalibratedModel:
     """Fit on all folds but one, calibrate on that one, for every fold."""
-    assigned = settle(splits.assign_folds(df, key, label, folds, seed, "_calibration"))
+    assigned = splits.assign_folds(df, key, label, folds, seed, "_calibration")
     members = []
     for fold in range(folds):
         model = candidate.fit(assigned.filter(F.col("_calibration") != fold), label, seed)

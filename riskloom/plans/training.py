@@ -13,7 +13,7 @@ from riskloom.operators import attribution, cleaning, encoding, fairness, featur
 from riskloom.plans import models
 from riskloom.plans.evaluation import evaluate_scored
 from riskloom.schema import FAIRNESS_COLUMNS, TARGET
-from riskloom.session import settle
+from riskloom.session import settle, stored
 from riskloom.sources import artifacts
 from riskloom.sources.checks import validate_data
 
@@ -86,7 +86,7 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
     """Prepare, split, encode, tune, rank, refit, calibrate, choose a cut, report."""
     spark = raw.sparkSession
     seed, paths = config.random_state, artifacts.ArtifactPaths(out)
-    table = settle(prepare(raw))
+    table = stored(prepare(raw), "prepared")
     assigned = splits.assign_splits(
         table, KEY, TARGET, config.test_size, config.val_size, seed
     )
@@ -95,7 +95,9 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
     encoder = encoding.TabularEncoder(numeric, categorical).fit(train_rows)
     names = encoding.feature_names(encoder)
     groups = [c for c in FAIRNESS_COLUMNS if c in table.columns]
-    encoded = settle(encoding.encode(encoder, assigned, [KEY, TARGET, "split", *groups]))
+    encoded = stored(
+        encoding.encode(encoder, assigned, [KEY, TARGET, "split", *groups]), "encoded", "split"
+    )
     part = {s: encoded.filter(F.col("split") == s) for s in ("train", "val", "test")}
     train_val = encoded.filter("split <> 'test'")
 

@@ -38,6 +38,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the file.
+
+    For wide tables that are read many times: later passes read only their columns, and a
+    filter on ``partition_by`` reads only its folder. Column metadata is kept.
+    """
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Runtime settings the wide feature projections profit from.
 

@@ -45,7 +45,8 @@ def load_raw_data(spark: SparkSession, path: str, columns: Iterable[str] | None
 def load_score_requests(spark: SparkSession, path: str) -> DataFrame:
     """CSV scan of records to score; rows that do not parse keep their text.
 
-    Column order follows the file's header, absent fields become null.
+    Column order follows the file's header. Lines are parsed in full whatever is selected
+    later, so that a line is either good or broken.
     """
     header = spark.read.option("header", True).csv(path).columns
     known = {f.name: f.dataType for f in contract_schema()}
@@ -53,7 +54,7 @@ def load_score_requests(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
     return spark.read.schema(schema).options(
         header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record",
-        enforceSchema=True, escape='"',
+        enforceSchema=True, escape='"', columnPruning=False,
     ).csv(path)
 
 
