@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import sqltext
 from riskloom.operators.running import SMALL_ROWS, running_totals
+from riskloom.session import settle
 
 
 def unpivot(
@@ -57,10 +58,11 @@ def order_statistics(
 
     The value at 0-based rank r is the one whose running count first exceeds r.
     """
+    counts = counts if settled else settle(counts)
     ranked = running_totals(
-        counts, "value", ["n"], ["feature"], small_rows=small_rows, settled=settled
+        counts, "value", ["n"], ["feature"], small_rows=small_rows, settled=True
     )
-    totals = ranked.groupBy("feature").agg(F.sum("n").alias("total"))
+    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
     # One row per feature name.
     placed = ranked.join(F.broadcast(totals), "feature")
     low_edge, high_edge = F.col("cum_n") - F.col("n"), F.col("cum_n")

@@ -147,10 +147,11 @@ def ks_from_counts(
     pairs: DataFrame, small_rows: int = SMALL_ROWS, settled: bool = False
 ) -> DataFrame:
     """``(feature, ks_statistic, ks_p_value)``: the largest gap of the two step functions."""
+    pairs = pairs if settled else settle(pairs)
     ranked = running_totals(
-        pairs, "value", ["n_ref", "n_cur"], ["feature"], small_rows=small_rows, settled=settled
+        pairs, "value", ["n_ref", "n_cur"], ["feature"], small_rows=small_rows, settled=True
     )
-    totals = _feature_totals(ranked)
+    totals = _feature_totals(pairs)
     gap = F.abs(
         F.col("cum_n_ref") / F.col("total_ref") - F.col("cum_n_cur") / F.col("total_cur")
     )

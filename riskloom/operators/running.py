@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.session import settle
 
@@ -53,6 +53,15 @@ def running_totals(
     return _ranged_totals(df, max(2, ranges), order, sums, group)
 
 
+def _cuts_reached(value: str, most: int) -> Column:
+    """How many of the sorted ``_cuts`` lie at or below the value, by halving steps."""
+    steps = ", ".join(str(2**i) for i in reversed(range(max(1, most.bit_length()))))
+    return F.expr(
+        f"aggregate(array({steps}), 0, (n, s) -> "
+        f"IF(n + s <= size(_cuts) AND get(_cuts, n + s - 1) <= {value}, n + s, n))"
+    )
+
+
 def _ranged_totals(
     df: DataFrame, ranges: int, order: str, sums: list[str], group: list[str]
 ) -> DataFrame:
@@ -71,13 +80,10 @@ def _ranged_totals(
             df.select(key.alias("_key"), F.array(F.lit(0.0)).alias("_cuts")).schema,
         )
     )
-    value = F.col(order).cast("double")
-    # Cuts are sorted and distinct, so counting the cuts at or below the value is the
-    # range number.
     placed = (
         df.withColumn("_key", key)
         .join(cut_table, "_key")
-        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c <= value)))
+        .withColumn("_range", _cuts_reached(f"double({order})", ranges))
         .drop("_cuts")
     )
     before = Window.partitionBy("_key").orderBy("_range").rowsBetween(

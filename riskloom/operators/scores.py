@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.scoring import ratio_or_zero
 from riskloom.operators.running import SMALL_ROWS, running_totals
+from riskloom.session import settle
 
 METRICS = ("roc_auc", "pr_auc", "f1", "precision", "recall", "brier_score")
 THRESHOLD_CUTS = 99
@@ -31,25 +32,29 @@ def score_counts(
 
 
 def cumulative_counts(
-    counts: DataFrame, group: Iterable[str] = (), small_rows: int = SMALL_ROWS
+    counts: DataFrame, group: Iterable[str] = (), small_rows: int = SMALL_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Adds ``tp`` and ``fp``: positives and negatives scored at or above each score."""
     ordered = counts.withColumn("_down", -F.col("p"))
     return (
-        running_totals(ordered, "_down", ["pos", "neg"], group, small_rows=small_rows)
+        running_totals(
+            ordered, "_down", ["pos", "neg"], group, small_rows=small_rows, settled=settled
+        )
         .withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
         .drop("_down")
     )
 
 
-def _class_totals(curve: DataFrame, group: list[str]) -> DataFrame:
-    return curve.groupBy(*group).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+def _class_totals(counts: DataFrame, group: list[str]) -> DataFrame:
+    """Positives and negatives per group: a small row each, the group number is checked."""
+    return counts.groupBy(*group).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
 
 
 def _curve(
     scored: DataFrame, y: str, p: str, group: Iterable[str], small_rows: int
-) -> tuple[DataFrame, list[str]]:
-    """Cumulative counts with the class totals of each group.
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Cumulative counts with the class totals of each group, the settled counts, the keys.
 
     Without group columns a constant stands in, so both cases share one equi-join with
     one small row per group.
@@ -57,8 +62,10 @@ def _curve(
     group = list(group)
     if not group:
         scored, group = scored.withColumn(_ALL, F.lit(0)), [_ALL]
-    curve = cumulative_counts(score_counts(scored, y, p, group), group, small_rows)
-    return curve.join(F.broadcast(_class_totals(curve, group)), group), group
+    counts = settle(score_counts(scored, y, p, group))
+    curve = cumulative_counts(counts, group, small_rows, settled=True)
+    # The totals come from the settled counts, not from the curve, which would be run twice.
+    return curve.join(F.broadcast(_class_totals(counts, group)), group), counts, group
 
 
 def roc_points(
@@ -69,14 +76,14 @@ def roc_points(
 
     The origin of the curve, where nothing is flagged, has no threshold.
     """
-    curve, keys = _curve(scored, y, p, group, small_rows)
+    curve, counts, keys = _curve(scored, y, p, group, small_rows)
     points = curve.select(
         *keys,
         ratio_or_zero(F.col("fp"), F.col("all_neg")).alias("fpr"),
         ratio_or_zero(F.col("tp"), F.col("all_pos")).alias("tpr"),
         F.col("p").alias("threshold"),
     )
-    origin = _class_totals(curve, keys).select(
+    origin = _class_totals(counts, keys).select(
         *keys, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
         F.lit(None).cast("double").alias("threshold"),
     )
@@ -92,7 +99,7 @@ def pr_points(
     The end point (precision 1, recall 0) has no threshold; the baseline is the share
     of positives.
     """
-    curve, keys = _curve(scored, y, p, group, small_rows)
+    curve, counts, keys = _curve(scored, y, p, group, small_rows)
     baseline = ratio_or_zero(F.col("all_pos"), F.col("all_pos") + F.col("all_neg")).alias("baseline")
     points = curve.select(
         *keys,
@@ -101,7 +108,7 @@ def pr_points(
         F.col("p").alias("threshold"),
         baseline,
     )
-    end = _class_totals(curve, keys).select(
+    end = _class_totals(counts, keys).select(
         *keys, F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
         F.lit(None).cast("double").alias("threshold"), baseline,
     )
@@ -143,7 +150,7 @@ def compute_metrics(
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """All six metrics, one row per group. ROC-AUC is null when a class is absent."""
-    curve, keys = _curve(scored, y, p, group, small_rows)
+    curve, _, keys = _curve(scored, y, p, group, small_rows)
     flagged = F.col("p") >= F.lit(float(threshold))
 
     def picked(count: Column) -> Column:
@@ -165,14 +172,14 @@ def compute_metrics(
 def roc_auc(scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (),
             small_rows: int = SMALL_ROWS) -> DataFrame:
     """Area under the ROC curve, tied scores counting half."""
-    curve, keys = _curve(scored, y, p, group, small_rows)
+    curve, _, keys = _curve(scored, y, p, group, small_rows)
     return curve.groupBy(*keys).agg(_roc_auc().alias("roc_auc")).drop(_ALL)
 
 
 def average_precision(scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (),
                       small_rows: int = SMALL_ROWS) -> DataFrame:
     """Step-wise area under precision and recall (not the trapezoid)."""
-    curve, keys = _curve(scored, y, p, group, small_rows)
+    curve, _, keys = _curve(scored, y, p, group, small_rows)
     return curve.groupBy(*keys).agg(_average_precision().alias("pr_auc")).drop(_ALL)
 
 
