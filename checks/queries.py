@@ -756,7 +756,9 @@ def tree_contributions(t):
 def training_run(t):
     """The whole training job with one candidate: its run table."""
     out = scratch_path(t.spark, "artifacts")
-    config = TrainingConfig(models=("logistic_regression",), cv_folds=2, calibration_folds=2)
+    config = TrainingConfig(
+        models=("logistic_regression",), cv_folds=2, calibration_folds=2, logistic_iterations=20
+    )
     training.run_training(t.encounters(), out, config)
     return t.spark.read.parquet(artifacts.ArtifactPaths(out).runs)
 

@@ -24,6 +24,7 @@ class TrainingConfig:
     threshold_min_recall: float = 0.70
     cv_folds: int = 5
     calibration_folds: int = 3
+    logistic_iterations: int = 1000
     forest_trees: int = 200
     forest_depth: int = 10
     boosted_tree_range: tuple[int, int] = (100, 1000)

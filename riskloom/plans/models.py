@@ -98,7 +98,9 @@ class Candidate:
 def base_models(config: TrainingConfig) -> dict[str, Candidate]:
     """The four candidates with their untuned settings."""
     return {
-        "logistic_regression": Candidate("logistic_regression", {"max_iter": 1000}),
+        "logistic_regression": Candidate(
+            "logistic_regression", {"max_iter": config.logistic_iterations}
+        ),
         "random_forest": Candidate(
             "random_forest", {"n_estimators": config.forest_trees, "max_depth": config.forest_depth}
         ),
