@@ -7,9 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import packing, token_files
+from riskloom.llm import (
+    byte_runs, graph_search, jaccard_join, language, line_runs, mixing, norm_search, packing, sharding, token_files,
+)
 from riskloom.llm.common import read_table, scratch_path
 
+# Documents name no domain; here the last digit of the source's name stands for one.
+DOMAIN = F.when(F.col("source").rlike("[0-4]$"), "reference").otherwise("web")
+WEIGHTS = {
+    "domain": {"reference": 2.0, "web": 1.0},
+    "lang": {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0},
+}
+
 
 def op1_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
@@ -28,9 +37,62 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = byte_runs.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op4_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), DOMAIN, WEIGHTS, budget_share=0.6, max_epochs=2)
+
+
+def op7_norm_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_search.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = language.learn(docs.filter(~held_out))
+    return language.identify(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_runs.without_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc.doc_id", "n_lines", "n_removed",
+        F.octet_length("text").cast("long").alias("kept_bytes"),
+        F.crc32(F.col("text").cast("binary")).alias("kept_crc32"),
+    )
+
+
+def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_documents": op1_pack_documents,
+    "op2_suffix_array": op2_suffix_array,
+    "op3_jaccard_join": op3_jaccard_join,
+    "op4_graph_search": op4_graph_search,
     "op5_token_files": op5_token_files,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_norm_search": op7_norm_search,
+    "op8_language_mixture": op8_language_mixture,
+    "op9_line_runs": op9_line_runs,
+    "op10_feistel_shards": op10_feistel_shards,
 }
 
 SQL: dict[str, str] = {}
