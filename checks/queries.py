@@ -760,7 +760,7 @@ def training_run(t):
         models=("logistic_regression",), cv_folds=2, calibration_folds=2, logistic_iterations=20
     )
     training.run_training(t.encounters(), out, config)
-    return t.spark.read.parquet(artifacts.ArtifactPaths(out).runs)
+    return t.spark.read.parquet(artifacts.current_run(t.spark, out).runs)
 
 
 def _scorer(t: Inputs) -> tuple[DataFrame, scoring.Scorer]:

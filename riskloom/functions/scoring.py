@@ -25,8 +25,3 @@ def round_score(score: Column, digits: int = 4) -> Column:
 def ratio_or_zero(num: Column, den: Column) -> Column:
     """``num / den`` with 0 for an empty denominator."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
-
-
-def positive_part(labels: Column) -> Column:
-    """0/1 label as a bigint, nulls as 0."""
-    return F.coalesce(labels.cast("bigint"), F.lit(0).cast("bigint"))

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import sqltext
-from riskloom.operators.running import SMALL_ROWS, running_totals
+from riskloom.operators.running import running_totals
 from riskloom.session import settle
 
 
@@ -51,17 +51,14 @@ def text_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def order_statistics(
-    counts: DataFrame, shares: Mapping[str, float], small_rows: int = SMALL_ROWS,
-    settled: bool = False,
+    counts: DataFrame, shares: Mapping[str, float], settled: bool = False
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per feature.
 
     The value at 0-based rank r is the one whose running count first exceeds r.
     """
     counts = counts if settled else settle(counts)
-    ranked = running_totals(
-        counts, "value", ["n"], ["feature"], small_rows=small_rows, settled=True
-    )
+    ranked = running_totals(counts, "value", ["n"], ["feature"])
     totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
     # One row per feature name.
     placed = ranked.join(F.broadcast(totals), "feature")

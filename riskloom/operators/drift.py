@@ -14,7 +14,7 @@ from riskloom.functions import sqltext
 from riskloom.operators.counts import (
     bin_counts, column_ranges, equal_width_bin, numeric_counts,
 )
-from riskloom.operators.running import SMALL_ROWS, running_totals
+from riskloom.operators.running import running_totals
 from riskloom.schema import NUMERIC_FEATURES
 from riskloom.session import settle
 
@@ -143,14 +143,10 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(x < 0.05, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
-def ks_from_counts(
-    pairs: DataFrame, small_rows: int = SMALL_ROWS, settled: bool = False
-) -> DataFrame:
+def ks_from_counts(pairs: DataFrame, settled: bool = False) -> DataFrame:
     """``(feature, ks_statistic, ks_p_value)``: the largest gap of the two step functions."""
     pairs = pairs if settled else settle(pairs)
-    ranked = running_totals(
-        pairs, "value", ["n_ref", "n_cur"], ["feature"], small_rows=small_rows, settled=True
-    )
+    ranked = running_totals(pairs, "value", ["n_ref", "n_cur"], ["feature"])
     totals = _feature_totals(pairs)
     gap = F.abs(
         F.col("cum_n_ref") / F.col("total_ref") - F.col("cum_n_cur") / F.col("total_cur")
@@ -194,9 +190,8 @@ def compute_psi(
 
 def compute_ks_tests(
     reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    return ks_from_counts(paired_counts(reference, current, features), small_rows)
+    return ks_from_counts(paired_counts(reference, current, features))
 
 
 def detect_drift(
@@ -206,20 +201,19 @@ def detect_drift(
     psi_threshold: float = PSI_LIMIT,
     ks_alpha: float = KS_ALPHA,
     bins: int = PSI_BINS,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """One row per shared feature: scores, both flags, and their union."""
     pairs = settle(paired_counts(reference, current, features))
-    return drift_from_counts(pairs, psi_threshold, ks_alpha, bins, small_rows)
+    return drift_from_counts(pairs, psi_threshold, ks_alpha, bins)
 
 
 def drift_from_counts(
     pairs: DataFrame, psi_threshold: float = PSI_LIMIT, ks_alpha: float = KS_ALPHA,
-    bins: int = PSI_BINS, small_rows: int = SMALL_ROWS,
+    bins: int = PSI_BINS,
 ) -> DataFrame:
     """Drift report of settled paired counts."""
     joined = psi_from_counts(pairs, bins).join(
-        F.broadcast(ks_from_counts(pairs, small_rows, settled=True)), "feature"
+        F.broadcast(ks_from_counts(pairs, settled=True)), "feature"
     )
     flag_psi, flag_ks = F.col("psi") > psi_threshold, F.col("ks_p_value") < ks_alpha
     return joined.select(
@@ -238,12 +232,11 @@ def drift_summary(report: DataFrame) -> DataFrame:
 
 def drift_check(
     reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """A row for every asked feature of the current table, neutral where no reference exists."""
     asked = [f for f in (features or NUMERIC_FEATURES) if f in current.columns]
     named = current.sparkSession.createDataFrame([(f,) for f in asked], "feature string")
-    report = detect_drift(reference, current, asked, small_rows=small_rows)
+    report = detect_drift(reference, current, asked)
     # One row per feature name.
     return named.join(F.broadcast(report), "feature", "left").select(
         "feature",

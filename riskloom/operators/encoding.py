@@ -13,17 +13,13 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.functions import sqltext
 from riskloom.operators import counts
-from riskloom.operators.running import SMALL_ROWS
 from riskloom.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from riskloom.session import settle
 
-# The fitted vocabulary lives on the driver and in the model, so a column with more
-# levels than this is refused rather than cut.
-MAX_LEVELS = 100_000
 _ROWS = "_rows"
 
 
@@ -33,11 +29,11 @@ def _counts_with_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def median_table(
-    df: DataFrame, columns: Iterable[str], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Iterable[str]
 ) -> DataFrame:
     """``(feature, median)`` of the values present, interpolated."""
     table = counts.numeric_counts(df, columns)
-    return counts.order_statistics(table, {"median": 0.5}, small_rows).select("feature", "median")
+    return counts.order_statistics(table, {"median": 0.5}).select("feature", "median")
 
 
 def _approximate_scaling(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,7 +58,7 @@ def _approximate_scaling(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def scaling_table(
-    df: DataFrame, columns: Iterable[str], small_rows: int = SMALL_ROWS, exact: bool = True
+    df: DataFrame, columns: Iterable[str], exact: bool = True
 ) -> DataFrame:
     """``(feature, median, mean, scale)`` after median imputation.
 
@@ -74,7 +70,7 @@ def scaling_table(
     if not exact:
         return _approximate_scaling(df, columns)
     table = settle(_counts_with_rows(df, columns))
-    stats = counts.order_statistics(table, {"median": 0.5}, small_rows, settled=True)
+    stats = counts.order_statistics(table, {"median": 0.5}, settled=True)
     rows = stats.filter(F.col("feature") == _ROWS).select(F.lit(1).alias("_one"), F.col("total").alias("_rows"))
     medians = (
         stats.filter(F.col("feature") != _ROWS)
@@ -127,24 +123,28 @@ class FittedValues:
 
 
 def fit_values(
-    df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],
-    small_rows: int = SMALL_ROWS, exact: bool = True,
+    df: DataFrame, numeric: Iterable[str], categorical: Iterable[str], exact: bool = True,
+    max_levels: int | None = None,
 ) -> FittedValues:
-    """Learn medians, means, scales, modes and vocabularies from ``df``."""
+    """Learn medians, means, scales, modes and vocabularies from ``df``.
+
+    The vocabulary becomes part of the model, so it comes to the driver. ``max_levels`` bounds
+    it where wanted: only the most frequent levels of a column (ties: the smaller) are coded,
+    and the others encode to zeros as unseen ones do. Without it every level is coded.
+    """
     numeric, categorical = list(numeric), list(categorical)
     learned = {}
     if numeric:
-        for r in scaling_table(df, numeric, small_rows, exact).collect():  # one row per column
+        for r in scaling_table(df, numeric, exact).collect():  # one row per column
             learned[r["feature"]] = (r["median"], r["mean"], r["scale"])
     levels: dict[str, list[tuple[int, str]]] = {c: [] for c in categorical}
     if categorical:
-        limit = MAX_LEVELS * len(categorical)
-        rows = level_table(df, categorical).limit(limit + 1).collect()
-        for r in rows:
+        table = level_table(df, categorical)
+        if max_levels is not None:
+            order = Window.partitionBy("feature").orderBy(F.desc("n"), "value")
+            table = table.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= max_levels)
+        for r in table.toLocalIterator():
             levels[r["feature"]].append((-r["n"], r["value"]))
-        for name, found in levels.items():
-            if len(found) > MAX_LEVELS or len(rows) > limit:
-                raise ValueError(f"{name} has too many levels to be one-hot encoded")
     return FittedValues(
         {c: learned.get(c, (0.0, 0.0, 1.0)) for c in numeric},
         {

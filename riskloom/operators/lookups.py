@@ -8,20 +8,13 @@ from riskloom.functions import sqltext
 from riskloom.functions.codes import code_number, group_pairs
 from riskloom.schema import ICD_RANGES, ICD_WHOLE_CODES
 
-# A dimension above this many rows is left to the optimizer's own size estimate.
-BROADCAST_ROWS = 100_000
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after the row count proved small."""
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
 
 def lookup_join(
     df: DataFrame, dim: DataFrame, key: str, value: str, out: str, default: str
 ) -> DataFrame:
     """Left join ``dim(code, value)`` on ``df[key]``, unmatched rows get ``default``."""
-    side = checked_broadcast(dim.select(F.col("code").alias("_code"), F.col(value).alias("_value")))
+    # The optimizer broadcasts a dimension that it knows to be small.
+    side = dim.select(F.col("code").alias("_code"), F.col(value).alias("_value"))
     return (
         df.join(side, F.col(key) == F.col("_code"), "left")
         .withColumn(out, F.coalesce(F.col("_value"), F.lit(default)))

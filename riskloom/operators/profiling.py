@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from riskloom.functions import sqltext
 from riskloom.functions.scoring import ratio_or_zero, risk_tier
 from riskloom.operators import counts
-from riskloom.operators.running import SMALL_ROWS
 from riskloom.schema import RISK_TIERS
 from riskloom.session import settle
 
@@ -39,7 +38,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(
-    df: DataFrame, columns: Iterable[str] | None = None, small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Iterable[str] | None = None
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
     columns = list(columns or numeric_columns(df))
@@ -60,7 +59,7 @@ def describe(
         )
     )
     quartiles = counts.order_statistics(
-        table, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, small_rows, settled=True
+        table, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, settled=True
     ).drop("total")
     return (
         means.join(spread, "feature")

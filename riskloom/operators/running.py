@@ -1,113 +1,50 @@
 """Running totals over a whole table, without pulling it into one task.
 
-Inputs are already reduced to distinct keys. A table of proven small size uses an
-ordinary window. A larger one is cut into ranges of about equal size: totals per
-range give every range its starting value, and the window then runs inside a range.
+Inputs are already reduced to distinct keys. They are range-partitioned by group and order, so
+a partition holds neighbouring keys and a group of any size is spread over as many partitions
+as it fills. Totals per partition and group give each its starting value, and the window then
+runs inside a partition. One plan serves every number of rows and of groups.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from riskloom.session import settle
-
-SMALL_ROWS = 500_000
-RANGE_ROWS = 250_000
-MAX_RANGES = 2_000
-# Bounds what is broadcast: at most this many (group, range) pairs.
-MAX_PAIRS = 200_000
-MAX_GROUPS = 10_000
+from riskloom.session import stored
 
 
 def running_totals(
-    df: DataFrame,
-    order: str,
-    sums: Iterable[str],
-    group: Iterable[str] = (),
-    small_rows: int = SMALL_ROWS,
-    range_rows: int = RANGE_ROWS,
-    settled: bool = False,
+    df: DataFrame, order: str, sums: Iterable[str], group: Iterable[str] = ()
 ) -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over rows of the group up to and including this one.
 
-    ``(group, order)`` must be unique and ``order`` numeric and not null. The number of
-    groups must be small (feature, model or fold names); the number of rows need not be.
-    ``settled`` says that the input already is a checkpoint.
+    ``(group, order)`` must be unique and ``order`` not null.
     """
     sums, group = list(sums), list(group)
-    df = df if settled else settle(df)
-    groups = F.approx_count_distinct(F.struct(*group)) if group else F.lit(1)
-    size = df.agg(F.count(F.lit(1)).alias("rows"), groups.alias("groups")).first()
-    if size["groups"] > MAX_GROUPS:
-        raise ValueError(f"about {size['groups']} groups in {group}; expected names, not keys")
-    rows = size["rows"]
-    if rows <= small_rows:
-        window = Window.partitionBy(*group).orderBy(order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        return df.withColumns({f"cum_{c}": F.sum(c).over(window) for c in sums})
-    ranges = min(MAX_RANGES, math.ceil(rows / range_rows), MAX_PAIRS // max(size["groups"], 1))
-    return _ranged_totals(df, max(2, ranges), order, sums, group)
-
-
-def _cuts_reached(value: str, most: int) -> Column:
-    """How many of the sorted ``_cuts`` lie at or below the value, by halving steps."""
-    steps = ", ".join(str(2**i) for i in reversed(range(max(1, most.bit_length()))))
-    return F.expr(
-        f"aggregate(array({steps}), 0, (n, s) -> "
-        f"IF(n + s <= size(_cuts) AND get(_cuts, n + s - 1) <= {value}, n + s, n))"
-    )
-
-
-def _ranged_totals(
-    df: DataFrame, ranges: int, order: str, sums: list[str], group: list[str]
-) -> DataFrame:
-    shares = [i / ranges for i in range(1, ranges)]
-    key = F.struct(*group) if group else F.lit(0)
-    # Approximate cut points are enough: they only balance the ranges. They are read
-    # back as constants (groups x ranges numbers), so every use sees the same cuts.
-    cuts = (
-        df.groupBy(key.alias("_key"))
-        .agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * ranges).alias("_cuts"))
-        .collect()
-    )
-    cut_table = F.broadcast(
-        df.sparkSession.createDataFrame(
-            [(r["_key"], sorted(set(r["_cuts"]))) for r in cuts],
-            df.select(key.alias("_key"), F.array(F.lit(0.0)).alias("_cuts")).schema,
-        )
-    )
-    placed = (
-        df.withColumn("_key", key)
-        .join(cut_table, "_key")
-        .withColumn("_range", _cuts_reached(f"double({order})", ranges))
-        .drop("_cuts")
-    )
-    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    placed = stored(
+        df.withColumn("_key", F.struct(*group) if group else F.struct(F.lit(0)))
+        .repartitionByRange("_key", order)
+        .withColumn("_range", F.spark_partition_id()),
+        "ranges",
+    )
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per group, and one more for each partition that a group goes on in.
     starts = (
         placed.groupBy("_key", "_range")
         .agg(*[F.sum(c).alias(f"_total_{c}") for c in sums])
         .select(
-            "_key",
-            "_range",
-            *[
-                F.coalesce(F.sum(f"_total_{c}").over(before), F.lit(0)).alias(f"_start_{c}")
-                for c in sums
-            ],
+            "_key", "_range",
+            *[F.coalesce(F.sum(f"_total_{c}").over(before), F.lit(0)).alias(f"_start_{c}") for c in sums],
         )
     )
     inside = Window.partitionBy("_key", "_range").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    # At most groups x ranges rows, whatever the size of the data.
     return (
         placed.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums})
-        .join(F.broadcast(starts), ["_key", "_range"])
+        .join(starts, ["_key", "_range"])
         .withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"_start_{c}") for c in sums})
         .drop("_key", "_range", *[f"_start_{c}" for c in sums])
     )

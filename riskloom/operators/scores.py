@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.scoring import ratio_or_zero
-from riskloom.operators.running import SMALL_ROWS, running_totals
+from riskloom.operators.running import running_totals
 from riskloom.session import settle
 
 METRICS = ("roc_auc", "pr_auc", "f1", "precision", "recall", "brier_score")
@@ -31,28 +31,23 @@ def score_counts(
     )
 
 
-def cumulative_counts(
-    counts: DataFrame, group: Iterable[str] = (), small_rows: int = SMALL_ROWS,
-    settled: bool = False,
-) -> DataFrame:
+def cumulative_counts(counts: DataFrame, group: Iterable[str] = ()) -> DataFrame:
     """Adds ``tp`` and ``fp``: positives and negatives scored at or above each score."""
     ordered = counts.withColumn("_down", -F.col("p"))
     return (
-        running_totals(
-            ordered, "_down", ["pos", "neg"], group, small_rows=small_rows, settled=settled
-        )
+        running_totals(ordered, "_down", ["pos", "neg"], group)
         .withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
         .drop("_down")
     )
 
 
 def _class_totals(counts: DataFrame, group: list[str]) -> DataFrame:
-    """Positives and negatives per group: a small row each, the group number is checked."""
+    """Positives and negatives per group: a small row each."""
     return counts.groupBy(*group).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
 
 
 def _curve(
-    scored: DataFrame, y: str, p: str, group: Iterable[str], small_rows: int
+    scored: DataFrame, y: str, p: str, group: Iterable[str]
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Cumulative counts with the class totals of each group, the settled counts, the keys.
 
@@ -63,20 +58,25 @@ def _curve(
     if not group:
         scored, group = scored.withColumn(_ALL, F.lit(0)), [_ALL]
     counts = settle(score_counts(scored, y, p, group))
-    curve = cumulative_counts(counts, group, small_rows, settled=True)
+    curve = cumulative_counts(counts, group)
     # The totals come from the settled counts, not from the curve, which would be run twice.
-    return curve.join(F.broadcast(_class_totals(counts, group)), group), counts, group
+    return curve.join(_class_totals(counts, group), group), counts, group
+
+
+def curve_of(scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = ()):
+    """The stored cumulative counts that metrics and curves of one table share."""
+    curve, counts, keys = _curve(scored, y, p, group)
+    return settle(curve), counts, keys
 
 
 def roc_points(
-    scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (),
-    small_rows: int = SMALL_ROWS,
+    scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (), curve=None,
 ) -> DataFrame:
     """``(fpr, tpr, threshold)`` for every distinct score.
 
     The origin of the curve, where nothing is flagged, has no threshold.
     """
-    curve, counts, keys = _curve(scored, y, p, group, small_rows)
+    curve, counts, keys = curve or _curve(scored, y, p, group)
     points = curve.select(
         *keys,
         ratio_or_zero(F.col("fp"), F.col("all_neg")).alias("fpr"),
@@ -91,15 +91,14 @@ def roc_points(
 
 
 def pr_points(
-    scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (),
-    small_rows: int = SMALL_ROWS,
+    scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (), curve=None,
 ) -> DataFrame:
     """``(precision, recall, threshold, baseline)`` for every distinct score.
 
     The end point (precision 1, recall 0) has no threshold; the baseline is the share
     of positives.
     """
-    curve, counts, keys = _curve(scored, y, p, group, small_rows)
+    curve, counts, keys = curve or _curve(scored, y, p, group)
     baseline = ratio_or_zero(F.col("all_pos"), F.col("all_pos") + F.col("all_neg")).alias("baseline")
     points = curve.select(
         *keys,
@@ -147,10 +146,10 @@ def compute_metrics(
     y: str = "y",
     p: str = "p",
     group: Iterable[str] = (),
-    small_rows: int = SMALL_ROWS,
+    curve=None,
 ) -> DataFrame:
     """All six metrics, one row per group. ROC-AUC is null when a class is absent."""
-    curve, _, keys = _curve(scored, y, p, group, small_rows)
+    curve, _, keys = curve or _curve(scored, y, p, group)
     flagged = F.col("p") >= F.lit(float(threshold))
 
     def picked(count: Column) -> Column:
@@ -169,17 +168,15 @@ def compute_metrics(
     )
 
 
-def roc_auc(scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (),
-            small_rows: int = SMALL_ROWS) -> DataFrame:
+def roc_auc(scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = ()) -> DataFrame:
     """Area under the ROC curve, tied scores counting half."""
-    curve, _, keys = _curve(scored, y, p, group, small_rows)
+    curve, _, keys = _curve(scored, y, p, group)
     return curve.groupBy(*keys).agg(_roc_auc().alias("roc_auc")).drop(_ALL)
 
 
-def average_precision(scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = (),
-                      small_rows: int = SMALL_ROWS) -> DataFrame:
+def average_precision(scored: DataFrame, y: str = "y", p: str = "p", group: Iterable[str] = ()) -> DataFrame:
     """Step-wise area under precision and recall (not the trapezoid)."""
-    curve, _, keys = _curve(scored, y, p, group, small_rows)
+    curve, _, keys = _curve(scored, y, p, group)
     return curve.groupBy(*keys).agg(_average_precision().alias("pr_auc")).drop(_ALL)
 
 

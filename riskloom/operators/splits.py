@@ -12,8 +12,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskloom.session import stored
+
 BUCKET_HEX = 4  # 65,536 buckets per stratum
-MAX_STRATA = 100
 
 
 def hash_key(key: Column, seed: int) -> Column:
@@ -22,12 +23,12 @@ def hash_key(key: Column, seed: int) -> Column:
     return F.concat_ws("|", F.md5(F.concat_ws(":", text, F.lit(str(seed)))), text)
 
 
-def _cut_values(
+def _cut_table(
     df: DataFrame, key: str, stratum: str, shares: Sequence[float], seed: int
-) -> dict[object, list[str | None]]:
-    """Per stratum, the first order key at or past each cumulative share.
+) -> DataFrame:
+    """``(_s, _limits)``: per stratum the first order key at or past each cumulative share.
 
-    None means the cut lies past the last row. The result holds strata x shares texts.
+    A cut past the last row has no limit. There is a row per stratum, however many there are.
     """
     slim = df.select(F.col(stratum).alias("s"), hash_key(F.col(key), seed).alias("h"))
     slim = slim.withColumn("b", F.substring("h", 1, BUCKET_HEX))
@@ -37,58 +38,41 @@ def _cut_values(
     located = by_bucket.withColumn("cum", F.sum("n").over(run)).withColumn(
         "total", F.sum("n").over(Window.partitionBy("s"))
     )
-    # A cut keeps the first floor(share * total + 0.5) rows below it; one that keeps
-    # all rows shows up at the last bucket with place 0.
+    # A cut keeps the first floor(share * total + 0.5) rows below it.
     ranks = F.array(*[F.floor(F.col("total") * s + 0.5).cast("bigint") for s in shares])
     inside = (F.col("rank") >= F.col("cum") - F.col("n")) & (F.col("rank") < F.col("cum"))
-    past = (F.col("rank") >= F.col("total")) & (F.col("cum") == F.col("total"))
-    found = (
-        located.select("s", "b", "n", "cum", "total", F.posexplode(ranks).alias("cut", "rank"))
-        .filter(inside | past)
-        .select(
-            "s", "b", "cut",
-            F.when(past, 0).otherwise(F.col("rank") - F.col("cum") + F.col("n") + 1)
-            .cast("bigint").alias("place"),
-        )
+    spots = stored(
+        located.select("s", "b", "n", "cum", F.explode(ranks).alias("rank"))
+        .filter(inside)
+        .select("s", "b", (F.col("rank") - F.col("cum") + F.col("n") + 1).alias("place")),
+        "cuts",
     )
-    spots_list = found.limit(MAX_STRATA * len(shares) + 1).collect()
-    if len(spots_list) > MAX_STRATA * len(shares):
-        raise ValueError(f"{stratum} has more than {MAX_STRATA} values; it does not name strata")
-    cuts: dict[object, list[str | None]] = {r["s"]: [None] * len(shares) for r in spots_list}
-    wanted = [tuple(r) for r in spots_list if r["place"] > 0]
-    if not wanted:
-        return cuts
     # Rank only the rows of the located buckets: about rows / 65,536 per cut.
-    spots = df.sparkSession.createDataFrame(wanted, found.schema)
-    buckets = F.broadcast(spots.select(F.col("s").alias("bs"), F.col("b").alias("bb")).distinct())
-    near = slim.join(buckets, F.col("s").eqNullSafe(F.col("bs")) & (F.col("b") == F.col("bb")), "left_semi")
+    wanted = spots.select(F.col("s").alias("bs"), F.col("b").alias("bb")).distinct()
+    near = slim.join(wanted, F.col("s").eqNullSafe(F.col("bs")) & (F.col("b") == F.col("bb")), "left_semi")
     ranked = near.select(
         F.col("s").alias("rs"), F.col("b").alias("rb"), "h",
         F.row_number().over(Window.partitionBy("s", "b").orderBy("h")).alias("rank"),
     )
     hits = ranked.join(
-        F.broadcast(spots),
-        F.col("rs").eqNullSafe(F.col("s")) & (F.col("rb") == F.col("b"))
-        & (F.col("rank") == F.col("place")),
+        spots,
+        F.col("rs").eqNullSafe(F.col("s")) & (F.col("rb") == F.col("b")) & (F.col("rank") == F.col("place")),
+    )
+    return stored(
+        hits.groupBy(F.col("rs").alias("_s")).agg(F.collect_list("h").alias("_limits")), "limits"
     )
-    for r in hits.select("s", "cut", "h").collect():
-        cuts[r["s"]][r["cut"]] = r["h"]
-    return cuts
 
 
 def hash_parts(
     df: DataFrame, key: str, stratum: str, shares: Sequence[float], seed: int, out: str = "part"
 ) -> DataFrame:
     """Add ``out``: how many of the cumulative ``shares`` the row lies at or past."""
-    cuts = _cut_values(df, key, stratum, shares, seed)
-    h = hash_key(F.col(key), seed)
-    part = F.lit(0)
-    for value, limits in cuts.items():
-        passed = sum(
-            [(h >= limit).cast("int") for limit in limits if limit is not None], F.lit(0)
-        )
-        part = F.when(F.col(stratum).eqNullSafe(F.lit(value)), passed).otherwise(part)
-    return df.withColumn(out, part)
+    limits = _cut_table(df, key, stratum, shares, seed)
+    placed = df.withColumn("_h", hash_key(F.col(key), seed)).join(
+        limits, F.col(stratum).eqNullSafe(F.col("_s")), "left"
+    )
+    passed = F.size(F.filter(F.coalesce("_limits", F.array().cast("array<string>")), lambda x: F.col("_h") >= x))
+    return placed.withColumn(out, passed).drop("_h", "_s", "_limits")
 
 
 def assign_splits(
@@ -121,10 +105,9 @@ def assign_folds(
 def class_weights(df: DataFrame, target: str = "readmitted") -> DataFrame:
     """``(label, n, weight)`` with weight n / (classes * n_c)."""
     by_class = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    totals = by_class.agg(F.collect_list(F.struct("label", "n")).alias("rows"), F.sum("n").alias("total"))
-    return totals.select(
-        "total", F.size("rows").alias("classes"), F.inline("rows")
-    ).select(
+    totals = by_class.agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("total"))
+    # One row joins every class.
+    return by_class.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one").select(
         "label", "n", (F.col("total") / (F.col("classes") * F.col("n"))).alias("weight")
     )
 

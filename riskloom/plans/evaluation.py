@@ -15,13 +15,17 @@ from riskloom.sources import artifacts
 
 
 def evaluate_scored(scored: DataFrame, threshold: float) -> dict[str, DataFrame]:
-    """Metric row, confusion matrix and the three curve tables of ``(y, p)``."""
+    """Metric row, confusion matrix and the three curve tables of ``(y, p)``.
+
+    The distinct scores are counted and summed up once; metrics and curves read that table.
+    """
+    curve = scores.curve_of(scored)
     return {
-        "metrics": settle(scores.compute_metrics(scored, threshold)),
+        "metrics": settle(scores.compute_metrics(scored, threshold, curve=curve)),
         "confusion_matrix": scores.confusion_matrix(scored, threshold),
         "calibration_curve": scores.calibration_curve(scored),
-        "roc_curve": scores.roc_points(scored),
-        "pr_curve": scores.pr_points(scored),
+        "roc_curve": scores.roc_points(scored, curve=curve),
+        "pr_curve": scores.pr_points(scored, curve=curve),
     }
 
 
@@ -50,6 +54,6 @@ def run_evaluation(
 
     if not (train_if_missing and artifacts.artifacts_ready(spark, out)):
         run_training(raw, out, config)
-    report = artifacts.load_metrics_report(spark, artifacts.ArtifactPaths(out).report) or {}
+    report = artifacts.load_metrics_report(spark, artifacts.current_run(spark, out).report) or {}
     failed = bool(report.get("quality_gate_violations"))
     return (1 if failed and fail_on_gates else 0), report

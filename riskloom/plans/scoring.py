@@ -41,13 +41,12 @@ class Scorer:
         """Load a stored run; fails at once when a part is missing."""
         if not artifacts.artifacts_ready(spark, root):
             raise FileNotFoundError(f"no complete model artifacts under {root}")
-        paths = artifacts.ArtifactPaths(root)
+        paths = artifacts.current_run(spark, root)
         report = artifacts.load_metrics_report(spark, paths.report) or {}
-        mark = report["training_fingerprint"]
         return cls(
             encoder=artifacts.load_encoder(paths.encoder),
-            model=artifacts.load_model(f"{paths.model}/{mark}", spark),
-            margin_model=artifacts.load_model(f"{paths.margin}/{mark}", spark),
+            model=artifacts.load_model(paths.model, spark),
+            margin_model=artifacts.load_model(paths.margin, spark),
             threshold=artifacts.load_threshold(spark, paths.threshold),
             model_version=report.get("model_version", "unknown"),
             background=list(report.get("background", [])),
@@ -113,9 +112,11 @@ class Scorer:
         valid, bad = split_valid(require_rows(df))
         return self.score(valid, keep), bad
 
-    def predict_records(self, spark: SparkSession, records: Iterable[Mapping]) -> DataFrame:
-        """Scores of in-memory records, in a table."""
-        return self.predict_batch(records_to_table(spark, records))[0]
+    def predict_records(
+        self, spark: SparkSession, records: Iterable[Mapping]
+    ) -> tuple[DataFrame, DataFrame]:
+        """Scores of in-memory records, and the rejected ones with their errors."""
+        return self.predict_batch(records_to_table(spark, records))
 
     def model_card(self, spark: SparkSession) -> DataFrame:
         """One row: type, version, cut, feature names, metrics, gate violations."""
@@ -136,5 +137,8 @@ class Scorer:
 
 def check_drift(spark: SparkSession, root: str, current: DataFrame, features=None) -> DataFrame:
     """Per-feature drift of a table against the stored training rows."""
-    reference = artifacts.load_reference(spark, artifacts.ArtifactPaths(root).reference)
+    run = artifacts.current_run(spark, root)
+    if run is None:
+        raise FileNotFoundError(f"no training run under {root}")
+    reference = artifacts.load_reference(spark, run.reference)
     return drift.drift_check(reference, require_rows(current), features)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -85,7 +85,7 @@ def train_and_log_model(
 def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConfig()) -> TrainingResult:
     """Prepare, split, encode, tune, rank, refit, calibrate, choose a cut, report."""
     spark = raw.sparkSession
-    seed, paths = config.random_state, artifacts.ArtifactPaths(out)
+    seed, paths = config.random_state, artifacts.new_run(out)
     table = stored(prepare(raw), "prepared")
     assigned = splits.assign_splits(
         table, KEY, TARGET, config.test_size, config.val_size, seed
@@ -148,8 +148,8 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
     violations += [r["message"] for r in fairness.gap_violations(gaps, config.gates).collect()]
 
     encoder.write().overwrite().save(paths.encoder)
-    artifacts.save_model(model, f"{paths.model}/{mark}", spark)
-    artifacts.save_model(margin_model, f"{paths.margin}/{mark}", spark)
+    artifacts.save_model(model, paths.model, spark)
+    artifacts.save_model(margin_model, paths.margin, spark)
     background = (
         attribution.feature_means(train_val)
         if isinstance(margin_model, LogisticRegressionModel)
@@ -172,8 +172,10 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
             "background": background,
         },
     )
-    # The threshold record names the stored model, so it is written last.
     artifacts.save_threshold(spark, paths.threshold, threshold, config.threshold_min_recall, mark)
+    for name, table in tables.items():
+        table.write.parquet(f"{paths.evaluation}/{name}")
+    artifacts.publish_run(spark, out, paths)
     return TrainingResult(best, metrics, threshold, violations, mark, calibrated, cv)
 
 
@@ -203,8 +205,3 @@ def _nested(report: DataFrame) -> dict[str, dict[str, float]]:
         column[r["group_value"]] = r["recall"]
         column[fairness.MAX_GAP] = r[fairness.MAX_GAP]
     return out
-
-
-def smaller(config: TrainingConfig, **changes) -> TrainingConfig:
-    """A copy of the configuration with some settings changed."""
-    return replace(config, **changes)

@@ -123,9 +123,6 @@ def raw_type(column: str) -> T.DataType:
     return T.StringType()
 
 
-RAW_SCHEMA = T.StructType([T.StructField(c, raw_type(c)) for c in RAW_COLUMNS])
-
-
 @dataclass(frozen=True)
 class FieldRule:
     """One field of a score request: type, bounds, and the value used when absent."""

@@ -31,11 +31,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Run ``df`` once and continue from a reliable checkpoint of its rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Run ``df`` once and continue from a columnar file of its rows."""
+    return stored(df, "settled")
 
 
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

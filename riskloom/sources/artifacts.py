@@ -1,13 +1,17 @@
 """What a training run leaves behind, and how it is read back.
 
-One folder holds the encoder, the scoring model (a single model or the members of a
-calibrated one), the margin model used for explanations, a one-row settings table, the
-reference snapshot for drift, the run table and the report.
+Every run writes a folder of its own: the encoder, the scoring model (a single model or the
+members of a calibrated one), the margin model used for explanations, the threshold record, the
+reference snapshot for drift, the run table, the evaluation tables and the report. When all of
+it is there, one record is added to ``pointers`` of the artifact folder, and readers follow the
+newest record. A run that fails on the way leaves the earlier one in use.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -19,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskloom.plans.models import CalibratedModel, Sigmoid
 
 DEFAULT_THRESHOLD = 0.5
+SINGLE, CALIBRATED = "single", "calibrated"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -29,7 +34,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def save_model(model, path: str, spark: SparkSession) -> None:
-    """Save a fitted model with MLlib's own writer; a calibrated one member by member."""
+    """Save a fitted model with MLlib's own writer; a calibrated one member by member.
+
+    A record beside it names the form, so what an earlier model left in the folder is not read.
+    """
     if isinstance(model, CalibratedModel):
         rows = []
         for i, (member, sigmoid) in enumerate(model.members):
@@ -40,11 +48,13 @@ def save_model(model, path: str, spark: SparkSession) -> None:
         ).write.mode("overwrite").json(f"{path}/sigmoids")
     else:
         model.write().overwrite().save(f"{path}/single")
+    form = (CALIBRATED if isinstance(model, CalibratedModel) else SINGLE,)
+    spark.createDataFrame([form], "form string").coalesce(1).write.mode("overwrite").text(f"{path}/form")
 
 
 def load_model(path: str, spark: SparkSession):
     """Reload whatever ``save_model`` stored."""
-    if _exists(spark, f"{path}/single"):
+    if spark.read.text(f"{path}/form").first()[0] == SINGLE:
         return _load_any(f"{path}/single", spark)
     rows = spark.read.schema("member int, slope double, intercept double").json(f"{path}/sigmoids")
     members = [
@@ -119,20 +129,45 @@ def load_reference(spark: SparkSession, path: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ArtifactPaths:
-    """Layout of an artifact folder."""
+    """Layout of the folder of one run."""
 
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name not in ("encoder", "model", "margin", "threshold", "reference", "runs", "report"):
+        if name not in (
+            "encoder", "model", "margin", "threshold", "reference", "runs", "report", "evaluation", "importance",
+        ):
             raise AttributeError(name)
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def new_run(root: str) -> ArtifactPaths:
+    """A fresh folder for one run."""
+    return ArtifactPaths(f"{root.rstrip('/')}/run-{uuid.uuid4().hex}")
+
+
+def publish_run(spark: SparkSession, root: str, run: ArtifactPaths) -> None:
+    """Make a complete run the one that readers use: one appended record."""
+    row = [(run.root.rsplit("/", 1)[-1], time.time_ns())]
+    spark.createDataFrame(row, "run string, written long").coalesce(1).write.mode("append").json(
+        f"{root.rstrip('/')}/pointers"
+    )
+
+
+def current_run(spark: SparkSession, root: str) -> ArtifactPaths | None:
+    """The run that was published last; None where none was."""
+    pointers = f"{root.rstrip('/')}/pointers"
+    if not _exists(spark, pointers):
+        return None
+    rows = spark.read.schema("run string, written long").json(pointers)
+    row = rows.filter("run IS NOT NULL").agg(F.max_by("run", "written").alias("run")).first()
+    return None if row["run"] is None else ArtifactPaths(f"{root.rstrip('/')}/{row['run']}")
+
+
 def artifacts_ready(spark: SparkSession, root: str) -> bool:
-    """Whether a scorer can be loaded from the folder."""
-    paths = ArtifactPaths(root)
-    return all(_exists(spark, p) for p in (paths.encoder, paths.model, paths.threshold))
+    """Whether a scorer can be loaded from the folder: it needs an encoder and a model."""
+    paths = current_run(spark, root)
+    return paths is not None and all(_exists(spark, p) for p in (paths.encoder, paths.model))
 
 
 def load_encoder(path: str) -> PipelineModel:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.functions import sqltext
-from riskloom.schema import MISSING_MARKERS, contract_schema, raw_type
+from riskloom.schema import CONTRACT, MISSING_MARKERS, contract_schema, raw_type
 
 
 def null_markers(column: str, markers: Iterable[str] = MISSING_MARKERS) -> str:
@@ -22,8 +24,15 @@ def type_raw_columns(df: DataFrame) -> DataFrame:
     for column in df.columns:
         text = null_markers(column)
         if isinstance(raw_type(column), T.LongType):
-            # "5" and "5.0" are both accepted; other text is missing.
-            text = f"coalesce(try_cast({text} AS BIGINT), try_cast(try_cast({text} AS DOUBLE) AS BIGINT))"
+            # "5" and "5.0" are both accepted; text that is no number is missing. A fraction
+            # can neither be kept in a whole-number column nor be cut unnoticed.
+            number = f"try_cast({text} AS DOUBLE)"
+            fraction = sqltext.value(f"{column} holds a fraction where a whole number is expected: ")
+            text = (
+                f"coalesce(try_cast({text} AS BIGINT), CASE WHEN {number} IS NULL OR isnan({number}) THEN NULL "
+                f"WHEN {number} = floor({number}) THEN try_cast({number} AS BIGINT) "
+                f"ELSE CAST(raise_error(concat({fraction}, {text})) AS BIGINT) END)"
+            )
         out.append(f"{text} AS {sqltext.name(column)}")
     return df.selectExpr(*out)
 
@@ -45,22 +54,53 @@ def load_raw_data(spark: SparkSession, path: str, columns: Iterable[str] | None
 def load_score_requests(spark: SparkSession, path: str) -> DataFrame:
     """CSV scan of records to score; rows that do not parse keep their text.
 
-    Column order follows the file's header. Lines are parsed in full whatever is selected
-    later, so that a line is either good or broken.
+    Each file's own header names its columns, so files of a folder may differ in their order
+    and in their optional columns; a column that a file lacks is filled by its rule. Lines are
+    parsed in full whatever is selected later, so that a line is either good or broken.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    known = {f.name: f.dataType for f in contract_schema()}
-    fields = [T.StructField(c, known.get(c, T.StringType())) for c in header]
-    schema = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
-    return spark.read.schema(schema).options(
-        header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record",
-        enforceSchema=True, escape='"', columnPruning=False,
-    ).csv(path)
+    kinds = {f.name: f.dataType for f in contract_schema()}
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file, line in _header_lines(spark, path):
+        names = next(csv.reader([line]), [])
+        headers.setdefault(tuple(names), []).append(file)
+    rules = {r.name: r for r in CONTRACT}
+    every = list(dict.fromkeys(c for names in headers for c in names))
+    parts = []
+    for names, files in headers.items():
+        fields = [T.StructField(c, kinds.get(c, T.StringType())) for c in names]
+        schema = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
+        part = spark.read.schema(schema).options(
+            header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record",
+            enforceSchema=True, escape='"', columnPruning=False,
+        ).csv(files)
+        for c in every:
+            if c not in names:
+                value = rules[c].default if c in rules else None
+                part = part.withColumn(c, F.lit(value).cast(kinds.get(c, T.StringType())))
+        parts.append(part.select(*every, "_corrupt_record"))
+    if not parts:
+        return spark.createDataFrame([], contract_schema())
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _header_lines(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """The first line of every file: a row per file, which the scan's file list holds anyway."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        "value", F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    return sorted((r["file"], r["line"]) for r in first.collect())
 
 
 def records_to_table(spark: SparkSession, records: Iterable[Mapping], schema=None) -> DataFrame:
-    """In-memory records as a table, absent keys as null."""
+    """In-memory records as a table.
+
+    An absent optional field takes the default of its rule; a field that is present as None
+    stays null, as does an absent required one, and the row checks then name it.
+    """
     schema = schema or contract_schema()
+    defaults = {r.name: r.default for r in CONTRACT}
 
     def fit(value, kind):
         if value is None:
@@ -73,7 +113,7 @@ def records_to_table(spark: SparkSession, records: Iterable[Mapping], schema=Non
             return int(value)
         return str(value)
 
-    rows = [tuple(fit(r.get(f.name), f.dataType) for f in schema) for r in records]
+    rows = [tuple(fit(r.get(f.name, defaults.get(f.name)), f.dataType) for f in schema) for r in records]
     return spark.createDataFrame(rows, schema)
 
 
@@ -89,12 +129,6 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, path: str) -> str:
-    """Parquet sink."""
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def preview(df: DataFrame, key: str, n: int = 10) -> DataFrame:
     """First ``n`` rows by key: a top-n, not a full sort."""
     return df.orderBy(F.col(key)).limit(n)

@@ -25,21 +25,25 @@ def read_requests(spark: SparkSession, path: str, schema=None, files_per_batch:
 
 def score_stream(
     scorer: Scorer, requests: DataFrame, out: str, checkpoint: str | None = None,
-    keep: Iterable[str] = (),
+    keep: Iterable[str] = (), rejected: str | None = None,
 ) -> StreamingQuery:
     """Append the scores of valid requests to a parquet folder until the input is used up.
 
-    Stateless, so every batch is the batch scoring plan; the file sink makes each file
-    count once.
+    Invalid requests go to ``rejected`` (by default ``<out>-rejected``) with their errors.
+    Every batch is the batch scoring plan and has a folder of its own in both places, so a
+    batch that is run again replaces what it wrote.
     """
-    valid, _ = split_valid(requests)
     checkpoint = checkpoint or scratch_path(requests.sparkSession, "score-stream")
+    rejected = rejected or f"{out.rstrip('/')}-rejected"
+
+    def write(batch: DataFrame, number: int) -> None:
+        valid, bad = split_valid(batch)
+        scorer.score(valid, keep).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
+        bad.write.mode("overwrite").parquet(f"{rejected.rstrip('/')}/batch={number}")
+
     return (
-        scorer.score(valid, keep)
-        .writeStream.format("parquet")
-        .option("path", out)
+        requests.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -257,7 +257,7 @@ def test_evaluation_job(spark, trained):
     # Existing artifacts are reported without another training.
     again = evaluation.run_evaluation(spark, raw.limit(0), out, SMALL, train_if_missing=True)
     assert again == (0, report)
-    runs = spark.read.parquet(artifacts.ArtifactPaths(out).runs)
+    runs = spark.read.parquet(artifacts.current_run(spark, out).runs)
     assert {r["model"] for r in runs.collect()} == set(SMALL.models)
 
 
@@ -280,8 +280,8 @@ def test_scorer(spark, trained):
 def test_single_and_batch_prediction(spark, trained):
     raw, out, _, _ = trained
     scorer = scoring.Scorer.load(spark, out)
-    partial = {"age_ordinal": 7, "time_in_hospital": 5, "num_medications": 18, "gender": "Female",
-               "diag1_category": "Circulatory"}
+    partial = {"age_ordinal": 2, "time_in_hospital": 9, "num_medications": 31, "gender": "Male",
+               "diag1_category": "Neoplasms"}
     one = scorer.predict(spark, partial)
     assert 0 <= one["risk_score"] <= 1 and len(one["top_reasons"]) == 3
     rows = training.prepare(raw)
@@ -334,7 +334,7 @@ def test_streams(spark, trained, tmp_path):
     assert got.select("encounter_id", "risk_score").exceptAll(good.select("encounter_id", "risk_score")).count() == 0
     assert got.count() == good.count()
 
-    reference = artifacts.load_reference(spark, artifacts.ArtifactPaths(out).reference)
+    reference = artifacts.load_reference(spark, artifacts.current_run(spark, out).reference)
     again = streaming.read_requests(spark, str(tmp_path / "in"), rows.schema, files_per_batch=1)
     streaming.drift_stream(reference, again, str(tmp_path / "drift"), ["time_in_hospital"]).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "drift")).select("batch").distinct().count() == 3
