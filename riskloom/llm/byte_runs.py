@@ -37,8 +37,8 @@ from riskloom.llm.suffix_array import repeated_windows
 LENGTH, GRAM = 400, 24
 CROWD = 64  # different pieces per anchor that a shard takes as they are
 MOST_BARRED = 1 << 22
-SEGMENT = 1_000_000
-SHARD_BYTES = 1 << 21
+SEGMENT = 1 << 19
+SHARD_BYTES = 1 << 19
 FILTER_BITS = 1 << 25
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)

@@ -65,7 +65,7 @@ class _Passes:
 
     def run(self, lefts: np.ndarray) -> np.ndarray:
         """All suffixes, induced from leftmost-smaller ones in the given order."""
-        sa = np.full(self.n, -1, np.int64)
+        sa = np.full(self.n, -1, np.int32)
         chars = self.s[lefts]
         order = np.argsort(chars, kind="stable")
         lefts, chars = lefts[order], chars[order]
@@ -145,18 +145,18 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, room: np.ndarray) -> tuple[np
     only the other positions, and those behind a separator, are compared.
     """
     n = len(s)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     compare = np.ones(n, bool)
     here = np.flatnonzero((before > 0) & (np.arange(n) > 0))
     compare[here] = (s[here - 1] != s[before[here] - 1]) | (room[here - 1] == 0)
-    shared = np.zeros(n, np.int64)
+    shared = np.zeros(n, np.int32)
     rows = np.flatnonzero(compare & (before >= 0) & (room > 0))
     padded = np.concatenate((s, np.zeros(_STEP, s.dtype)))
     reach = np.arange(_STEP)
     while len(rows):
         out = []
-        for part in np.array_split(rows, max(1, len(rows) // 65536)):
+        for part in np.array_split(rows, max(1, len(rows) // 16384)):
             x = part + shared[part]
             y = before[part] + shared[part]
             differ = padded[x[:, None] + reach] != padded[np.minimum(y, n - 1)[:, None] + reach]
