@@ -5,21 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.llm import (
     byte_runs, graph_search, jaccard_join, language, line_runs, mixing, norm_search, packing, sharding, token_files,
 )
 from riskloom.llm.common import read_table, scratch_path
 
-# Documents name no domain; here the last digit of the source's name stands for one.
-DOMAIN = F.when(F.col("source").rlike("[0-4]$"), "reference").otherwise("web")
 WEIGHTS = {
     "domain": {"reference": 2.0, "web": 1.0},
     "lang": {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0},
 }
 
 
+def domain() -> Column:
+    """Documents name no domain; here the last digit of the source's name stands for one."""
+    return F.when(F.col("source").rlike("[0-4]$"), "reference").otherwise("web")
+
+
 def op1_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -53,7 +56,7 @@ def op4_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents"), DOMAIN, WEIGHTS, budget_share=0.6, max_epochs=2)
+    return mixing.mix(read_table(spark, sf_dir, "documents"), domain(), WEIGHTS, budget_share=0.6, max_epochs=2)
 
 
 def op7_norm_search(spark: SparkSession, sf_dir: str) -> DataFrame:
