@@ -18,11 +18,12 @@ Classes come from counts of all shingles of all documents, as hashed cells; ``ra
 with their total so that at most ``most_frequent`` cells are frequent, which bounds what is sent
 to the tasks. Any class is right as long as it depends on the shingle alone.
 
-Keys shared by several sets are buckets. First every member is compared with the bucket's
-smallest one, and what links is one component. Only buckets that still span components are
-paired further, and only pairs of different components and fitting sizes; counts of shingles
-per hash cell bound a pair's overlap from above before whole sets are fetched, and exact sets
-decide. So a group of copies costs a comparison per member and key, not per pair.
+Keys shared by several sets are buckets. In rounds, every member is compared with the bucket's
+most connected one, and what links is one component; pairs inside a component need no more
+comparison, and buckets that one component covers are closed. When rounds link hardly more,
+pairs of different components are filtered inside their bucket by sizes and bit sketches, which
+bound an overlap from above, and only what passes becomes rows. Exact sets decide every pair. So
+a group of copies costs a few comparisons per member, and no link between components is missed.
 
 Defined cases: a text that is null or without words has no shingles and is linked with nothing;
 rows of one id that differ in text are documents of their own; a null id never names a
@@ -36,7 +37,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.llm.common import keep, slices
 from riskloom.llm.components import components
@@ -49,8 +50,8 @@ STEP = 64  # a class starts at this many times the count of the one before it
 MOST_COMBINED = 3
 CELL_LOAD = 4  # expected shingles of a set per cell of a frequent class
 SMALL_BAND = 5  # sets below 2**6 shingles are indexed by single shingles only
-SKETCH = 256
-SKETCH_MOST = 1 << 14
+SKETCH_BITS = 4096
+BLOCK = 2048  # members of a bucket that are compared in one task
 COUNT_RANGES, RANGE_SHINGLES = 64, 1 << 22  # cells are counted in ranges of about so many shingles
 PIECE = 2_000_000
 
@@ -72,10 +73,11 @@ def _sets(docs: DataFrame, function, schema: str, only: "_Filter | None" = None)
 
 
 def _described(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    sketches = [
-        np.minimum(np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
-        if len(s) <= SKETCH_MOST else b"" for s in sets
-    ]
+    sketches = []
+    for s in sets:
+        bits = np.zeros(SKETCH_BITS, bool)
+        bits[(s & np.uint64(SKETCH_BITS - 1)).astype(np.int64)] = True
+        sketches.append(np.packbits(bits).tobytes())
     yield pa.RecordBatch.from_arrays(
         [
             ids, pa.array([len(s) for s in sets], pa.int64()),
@@ -196,23 +198,80 @@ def _paired(nodes: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame
     return pairs
 
 
+def most_common(sketch: np.ndarray, size: int, sketches: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Upper bounds of the overlap of one set with others, from sketches of 64-bit words.
+
+    Common shingles have common bits, and a set loses ``size`` less its bits to collisions.
+    """
+    common = np.bitwise_count(sketch & sketches).sum(1, dtype=np.int64)
+    lost = sizes - np.bitwise_count(sketches).sum(1, dtype=np.int64)
+    own = size - int(np.bitwise_count(sketch).sum())
+    return np.minimum(np.minimum(size, sizes), common + np.minimum(own, lost))
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+
+
 def _possible(percent: int):
     """Drop pairs whose sizes or sketches rule out the similarity."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ok = []
             sizes = [np.asarray(batch.column(c)).astype(np.int64) for c in ("a_n", "b_n")]
-            sketches = [batch.column(c).to_pylist() for c in ("a_sketch", "b_sketch")]
-            overlap = np.minimum(*sizes)
-            both = [i for i, (x, y) in enumerate(zip(*sketches)) if x and y]
-            if both:
-                counts = [np.frombuffer(b"".join(s[i] for i in both), np.uint8).reshape(-1, SKETCH) for s in sketches]
-                least = np.minimum(*counts)
-                bound = least.sum(1, dtype=np.int64)
-                bound[(least == 255).any(1)] = np.iinfo(np.int32).max
-                overlap[both] = np.minimum(overlap[both], bound)
-            ok = (100 + percent) * overlap >= percent * (sizes[0] + sizes[1])
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            x, y = (_words(batch.column(c)) for c in ("a_sketch", "b_sketch"))
+            for i in range(batch.num_rows):
+                overlap = most_common(x[i], sizes[0][i], y[i : i + 1], sizes[1][i : i + 1])[0]
+                ok.append((100 + percent) * overlap >= percent * (sizes[0][i] + sizes[1][i]))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def _crossing(percent: int):
+    """Members of a bucket, or of two blocks of one, to those of other components they may match.
+
+    Rows come sorted by their group; a group has a few thousand members at most.
+    """
+
+    def compare(nodes, parts, sizes, sketches) -> tuple[list, list]:
+        names, count = np.unique(parts, return_counts=True)
+        rest = np.flatnonzero(parts != names[count.argmax()])
+        out: tuple[list, list] = ([], [])
+        for i in rest.tolist():
+            other = parts != parts[i]
+            other[rest[rest <= i]] = False  # a pair of two such members is tried once
+            fit = 100 * np.minimum(sizes[i], sizes) >= percent * np.maximum(sizes[i], sizes)
+            at = np.flatnonzero(other & fit)
+            overlap = most_common(sketches[i], int(sizes[i]), sketches[at], sizes[at])
+            at = at[(100 + percent) * overlap >= percent * (sizes[i] + sizes[at])]
+            if len(at):
+                out[0].append(int(nodes[i]))
+                out[1].append(nodes[at].tolist())
+        return out
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, group = [], None
+        for batch in batches:
+            keys = np.asarray(batch.column("group"))
+            cuts = np.flatnonzero(np.diff(keys)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                if a == b:
+                    continue
+                if keys[a] != group and held:
+                    yield decide(held)
+                    held = []
+                group = keys[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield decide(held)
+
+    def decide(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        plain = [np.asarray(rows.column(c)).astype(np.int64) for c in ("node", "component", "n")]
+        found = compare(*plain, _words(rows.column("sketch")))
+        return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.list_(pa.int64()))], names=["a", "others"])
 
     return run
 
@@ -295,6 +354,75 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int)
     return keep(_paired(sets, possible, ["set"]).mapInArrow(_linked(percent), "a long, b long"), "links")
 
 
+def _links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that connect what all similar pairs of the buckets connect.
+
+    In a round the member of a bucket that shares most keys is compared with the members of
+    other components, and then leaves the bucket: its pairs are decided or inside a component.
+    Buckets of one component are closed. When a round links fewer than one in a hundred of its
+    pairs, all pairs that are left are filtered by their sketches, a bucket or two blocks of one
+    at a time.
+    """
+    weight = shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
+    open_ = keep(shared.join(weight, "node").withColumn("component", F.col("node")), "open-buckets")
+    links = tried = None
+    while True:
+        hubs = open_.groupBy("sig").agg(
+            F.max_by(F.struct("node", "component"), F.struct("weight", "node")).alias("hub")
+        )
+        met = open_.join(hubs, "sig").filter(F.col("component") != F.col("hub.component"))
+        pairs = _ordered(met, F.col("hub.node"), F.col("node"))
+        found, tried, compared = _tried(docs, nodes, pairs, tried, percent)
+        links = found if links is None else keep(links.unionByName(found), "links")
+        ended = found.count() * 100 < compared
+        groups = keep(components(links), "components")
+        left = keep(
+            open_.join(hubs, "sig").filter(F.col("node") != F.col("hub.node"))
+            .select("sig", "node", "weight").join(groups, "node", "left")
+            .withColumn("component", F.coalesce("component", "node")),
+            "open-buckets",
+        )
+        spans = left.groupBy("sig").agg(
+            F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("members")
+        ).filter("_low != _high").select("sig", "members")
+        open_ = keep(left.join(spans, "sig"), "open-buckets")
+        if ended or open_.isEmpty():
+            break
+        open_ = open_.drop("members")
+    return keep(links.unionByName(_tried(docs, nodes, _crossed(open_, nodes, percent), tried, percent)[0]), "links")
+
+
+def _crossed(open_: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in a bucket that sizes and sketches do not rule out."""
+    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("long")
+    # Each member meets every block of its bucket: one, unless the bucket is a very large one.
+    blocked = (
+        open_.withColumn("_own", F.pmod(F.xxhash64("node"), blocks))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .withColumn("group", F.xxhash64("sig", F.least("_own", "_other"), F.greatest("_own", "_other")))
+        .select("group", "node", "component")
+    )
+    met = (
+        blocked.join(nodes.select("node", "n", "sketch"), "node").select("group", "node", "component", "n", "sketch")
+        .repartition("group").sortWithinPartitions("group", "component", "node")
+        .mapInArrow(_crossing(percent), "a long, others array<long>")
+    )
+    # A pair may meet in many buckets; it is listed once.
+    once = met.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    return _ordered(once.select("a", F.explode("others").alias("b")), F.col("a"), F.col("b"))
+
+
+def _ordered(met: DataFrame, one: Column, other: Column) -> DataFrame:
+    return met.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
+
+
+def _tried(docs, nodes, pairs, tried, percent) -> tuple[DataFrame, DataFrame, int]:
+    """The links among ``pairs`` that were not compared before, all compared pairs, new ones."""
+    fresh = keep(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    compared = fresh if tried is None else keep(tried.unionByName(fresh), "tried")
+    return _verified(docs, nodes, fresh, percent), compared, fresh.count()
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = PERCENT, rare_below: int = RARE_BELOW, most_frequent: int = MOST_FREQUENT,
     id_col: str = "doc_id", text_col: str = "text",
@@ -331,36 +459,14 @@ def near_duplicates(
         )
 
     bucket = Window.partitionBy("sig")
-    buckets = keep(
+    shared = keep(
         _sets(docs, index, "sig long, node long").repartition("sig")
-        .withColumns({"hub": F.min("node").over(bucket), "_top": F.max("node").over(bucket)})
-        .filter("hub != _top").drop("_top").distinct(),
+        .withColumns({"_low": F.min("node").over(bucket), "_top": F.max("node").over(bucket)})
+        .filter("_low != _top").select("sig", "node").distinct(),
         "buckets",
     )
-    near = buckets.filter("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    stars = _verified(docs, nodes, keep(near, "star-pairs"), percent)
-    groups = keep(components(stars), "components")
-    # Buckets that one component does not cover: pair what is in different components.
-    placed = buckets.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = (
-        placed.groupBy("sig").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        .filter("_low != _high").select("sig")
-    )
-    sized = keep(placed.join(open_, "sig").join(nodes.select("node", "n"), "node"), "open-buckets")
-    x, y = sized.alias("x"), sized.alias("y")
-    crossed = (
-        x.join(
-            y,
-            (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node"))
-            & (F.col("x.component") != F.col("y.component"))
-            & (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n")),
-        )
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-        .join(near, ["a", "b"], "left_anti")
-    )
-    more = _verified(docs, nodes, keep(crossed, "cross-pairs"), percent)
-    final = keep(components(stars.unionByName(more)), "components")
+    links = _links(docs, nodes, shared, percent)
+    final = keep(components(links), "components")
     named = nodes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least").alias("_id"))
     names = named.join(smallest, "component").select("node", "_id")
