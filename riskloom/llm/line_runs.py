@@ -174,9 +174,10 @@ def _cut(name: str):
 def without_repeated_lines(
     docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """All columns in a struct ``doc``, the shortened ``text``, ``n_lines`` and ``n_removed``."""
+    """The other columns in a struct ``doc``, the shortened ``text``, ``n_lines`` and ``n_removed``."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     marked = docs.select(
-        F.struct("*").alias("doc"), F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"),
+        F.struct(*others).alias("doc"), F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"),
         F.xxhash64(F.col(text_col).cast("string")).alias("_hash"),
     )
     gone = repeated_lines(marked.select("_id", "_text", "_hash"), min_words)
