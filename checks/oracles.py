@@ -618,3 +618,26 @@ ORACLES |= {
         CASE WHEN feature = 'num_procedures' THEN 1.0 ELSE {r6('pv')} END AS ks_p_value,
         CASE WHEN feature = 'num_procedures' THEN false ELSE dr END AS drifted FROM report""",
 }
+
+VALID = f"SELECT encounter_id FROM (SELECT encounter_id, {error_list()} AS errors FROM feat) WHERE len(errors) = 0"
+CONSISTENT = f"""{ROWS} SELECT encounter_id, true AS in_range, true AS decided, true AS tiered, 3::int AS reasons
+    FROM ({VALID})"""
+
+ORACLES |= {
+    "required_columns": f"{W_ENC} SELECT encounter_id, race FROM enc",
+    "batch_size_rule": f"{ROWS} SELECT encounter_id, readmitted FROM feat",
+    "selected_columns": ORACLES["feature_chain"],
+    "stored_report": ORACLES["all_metrics"],
+    "stored_threshold": f"SELECT threshold FROM ({ORACLES['optimal_threshold']})",
+    "out_of_fold_scores": f"""{ROWS}, {split_rank('feat', 'readmitted')} SELECT encounter_id, readmitted AS y, 1::bigint AS times,
+        true AS in_range FROM ranked WHERE {SPLIT} <> 'test'""",
+    "calibrated_scores": f"""{ROWS}, {split_rank('feat', 'readmitted')} SELECT encounter_id, true AS in_range
+        FROM ranked WHERE {SPLIT} = 'test'""",
+    "evaluation_curves": f"""{ROWS}, {split_rank('feat', 'readmitted')} SELECT count(*) AS binned, count(*) AS counted
+        FROM ranked WHERE {SPLIT} = 'test'""",
+    "tree_contributions": f"{ROWS} SELECT encounter_id, true AS additive, 1::int AS reasons FROM feat",
+    "batch_scores": CONSISTENT,
+    "streamed_scores": CONSISTENT,
+    "rejected_requests": f"""{ROWS} SELECT encounter_id, array_to_string(errors, ',') AS errors FROM (
+        SELECT encounter_id, {error_list()} AS errors FROM feat) WHERE len(errors) > 0""",
+}

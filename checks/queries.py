@@ -183,6 +183,41 @@ def quarantine_counts(t):
     )
 
 
+@query
+def required_columns(t):
+    """Rows of a table that has every required column."""
+    return row_checks.validate_data(t.encounters()).select(KEY, "race")
+
+
+@query
+def batch_size_rule(t):
+    return row_checks.require_rows(t.model_rows()).select(KEY, TARGET)
+
+
+@query
+def selected_columns(t):
+    return cleaning.select_model_columns(t.model_rows().withColumn("other", F.lit(1)), [KEY, TARGET])
+
+
+@query
+def stored_report(t):
+    """Metrics through the stored JSON report and back."""
+    path = scratch_path(t.spark, "report")
+    metrics = scores.compute_metrics(t.scored(), CUT).first().asDict()
+    artifacts.save_metrics_report(t.spark, path, metrics, CUT)
+    body = artifacts.load_metrics_report(t.spark, path)["metrics"]
+    return t.spark.createDataFrame(sorted(body.items()), "metric string, value double")
+
+
+@query
+def stored_threshold(t):
+    """The chosen cut through the threshold record and back."""
+    path = scratch_path(t.spark, "threshold")
+    cut = scores.find_optimal_threshold(t.scored()).first()["threshold"]
+    artifacts.save_threshold(t.spark, path, cut, 0.7, "check")
+    return t.spark.createDataFrame([(artifacts.load_threshold(t.spark, path),)], "threshold double")
+
+
 @query
 def nonnull_feature_counts(t):
     return (
@@ -700,9 +735,12 @@ def boosted_test_metrics(t):
 
 @query
 def out_of_fold_scores(t):
+    """Every train and validation row, scored once by a model that did not see it."""
     _, _, encoded = _encoded(t)
-    train, _ = _parts(encoded)
-    return models.out_of_fold(train, LOGISTIC.fit, KEY, folds=3)
+    pooled = models.out_of_fold(encoded.filter("split <> 'test'"), LOGISTIC.fit, KEY, folds=3)
+    return pooled.groupBy(KEY, "y").agg(
+        F.count(F.lit(1)).alias("times"), F.min(F.col("p").between(0, 1)).alias("in_range")
+    )
 
 
 @query
@@ -717,14 +755,21 @@ def calibrated_scores(t):
     _, _, encoded = _encoded(t)
     train, test = _parts(encoded)
     model = models.fit_calibrated(train, LOGISTIC, KEY, folds=2)
-    return models.probability(model, test).select(KEY, "p")
+    return models.probability(model, test).select(KEY, F.col("p").between(0, 1).alias("in_range"))
 
 
 @query
 def evaluation_curves(t):
+    """Row totals of the evaluation tables of the test rows."""
     _, _, encoded = _encoded(t)
     train, test = _parts(encoded)
-    return evaluation.evaluate_model(LOGISTIC.fit(train), test, 0.5)["calibration_curve"]
+    tables = evaluation.evaluate_model(LOGISTIC.fit(train), test, 0.5)
+    return (
+        tables["calibration_curve"].agg(F.sum("n").alias("binned"))
+        .withColumn("_one", F.lit(1))
+        .join(tables["confusion_matrix"].agg(F.sum("n").alias("counted")).withColumn("_one", F.lit(1)), "_one")
+        .drop("_one")
+    )
 
 
 @query
@@ -737,18 +782,17 @@ def forest_importance(t):
 
 @query
 def tree_contributions(t):
-    """Per row: score, expected score plus contributions, and the leading feature."""
+    """For every row: whether expected score plus contributions give its score."""
     _, encoder, encoded = _encoded(t)
-    train, test = _parts(encoded)
-    model = BOOSTED.fit(train)
+    model = BOOSTED.fit(_parts(encoded)[0])
     forest = attribution.read_forest(encoded, model)
-    explained = attribution.tree_contributions(model.transform(test), forest)
+    explained = attribution.tree_contributions(model.transform(encoded), forest)
     total = F.aggregate("contributions", F.lit(forest.base), lambda a, v: a + v)
+    reasons = attribution.top_reasons(encoding.feature_names(encoder), top_n=1)
     return explained.select(
         KEY,
-        (2 * vector_to_array("rawPrediction")[1]).alias("log_odds"),
-        total.alias("explained_log_odds"),
-        F.get(attribution.top_reasons(encoding.feature_names(encoder), top_n=1), F.lit(0))["feature"].alias("leading"),
+        (F.abs(2 * vector_to_array("rawPrediction")[1] - total) < 1e-6).alias("additive"),
+        F.size(reasons).alias("reasons"),
     )
 
 
@@ -775,22 +819,40 @@ def _scorer(t: Inputs) -> tuple[DataFrame, scoring.Scorer]:
 @query
 def batch_scores(t):
     rows, scorer = _scorer(t)
-    scored, _ = scorer.predict_batch(rows.filter("split = 'test'"), [KEY])
-    return scored.withColumn("top_reasons", F.to_json("top_reasons"))
+    return _consistent(scorer.predict_batch(rows, [KEY])[0])
+
+
+def _consistent(scored: DataFrame) -> DataFrame:
+    """Whether range, tier, decision and reasons of a row agree with its score."""
+    near = F.abs(F.col("risk_score") - CUT) < 1e-4
+    return scored.select(
+        KEY,
+        F.col("risk_score").between(0, 1).alias("in_range"),
+        ((F.col("readmitted") == (F.col("risk_score") >= CUT).cast("int")) | near).alias("decided"),
+        F.col("risk_tier").isin("Low", "Medium", "High").alias("tiered"),
+        F.size("top_reasons").alias("reasons"),
+    )
+
+
+@query
+def rejected_requests(t):
+    """Invalid rows that batch scoring returns with their errors."""
+    rows, scorer = _scorer(t)
+    return scorer.predict_batch(rows, [KEY])[1].select(KEY, F.concat_ws(",", "errors").alias("errors"))
 
 
 @query
 def streamed_scores(t):
-    """Valid test rows scored as a file stream."""
+    """Valid rows scored as a file stream."""
     rows, scorer = _scorer(t)
     requests = scratch_path(t.spark, "stream-in")
     out = scratch_path(t.spark, "stream-out")
-    test = rows.filter("split = 'test'").drop("split", TARGET)
-    test.write.parquet(requests)
-    stream = streaming.read_requests(t.spark, requests, test.schema)
+    rows = rows.drop("split", TARGET)
+    rows.write.parquet(requests)
+    stream = streaming.read_requests(t.spark, requests, rows.schema)
     started = streaming.score_stream(scorer, stream, out, keep=[KEY])
     started.awaitTermination()
-    return t.spark.read.parquet(out).withColumn("top_reasons", F.to_json("top_reasons"))
+    return _consistent(t.spark.read.parquet(out))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

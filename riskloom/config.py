@@ -30,6 +30,8 @@ class TrainingConfig:
     boosted_tree_range: tuple[int, int] = (100, 1000)
     boosted_depth_range: tuple[int, int] = (3, 10)
     parallel_trials: int = 2
+    # Rows whose contributions make the stored importances; None takes all of them.
+    importance_rows: int | None = None
     # "validation" keeps the test set untouched; "test" is the published rule.
     calibration_check: str = "validation"
     models: tuple[str, ...] = (

@@ -219,12 +219,12 @@ def _explain_batch(x: np.ndarray, forest: Forest, cache: dict) -> np.ndarray:
             for pattern in patterns:
                 key = (t, number, int(pattern))
                 if key not in cache:
+                    if len(cache) >= CACHED_PATTERNS:
+                        cache.clear()
                     taken = [bool(pattern >> b & 1) for b in range(len(leaf.features))]
                     cache[key] = shapley_of_pattern(leaf.value, leaf.shares, taken)
                 table.append(cache[key])
             phi[:, list(leaf.features)] += np.array(table)[rows]
-    if len(cache) > CACHED_PATTERNS:
-        cache.clear()
     return phi
 
 

@@ -6,6 +6,7 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.config import TrainingConfig
@@ -175,10 +176,24 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
     artifacts.save_threshold(spark, paths.threshold, threshold, config.threshold_min_recall, mark)
     for name, table in tables.items():
         table.write.parquet(f"{paths.evaluation}/{name}")
+    _importance(margin_model, train_val, names, background, config).write.parquet(paths.importance)
     artifacts.publish_run(spark, out, paths)
     return TrainingResult(best, metrics, threshold, violations, mark, calibrated, cv)
 
 
+def _importance(model, rows: DataFrame, names: list[str], background: list[float], config: TrainingConfig) -> DataFrame:
+    """Mean absolute contribution per feature, over all rows or the configured sample."""
+    if config.importance_rows is not None:
+        rows = splits.hash_sample(rows, KEY, config.importance_rows, config.random_state)
+    if isinstance(model, LogisticRegressionModel):
+        explained = attribution.linear_contributions(
+            rows, vector_to_array("features"), model.coefficients.toArray().tolist(), background
+        )
+    else:
+        explained = attribution.tree_contributions(rows, attribution.read_forest(rows, model))
+    return attribution.global_importance(explained, names)
+
+
 def _calibrate(candidate, margin_model, part, train_val, config: TrainingConfig):
     """Calibrated model if its Brier score is lower on the configured part."""
     def brier(model, rows: DataFrame) -> float:
