@@ -1,9 +1,10 @@
 """Token ids of whole texts, with each distinct word encoded once per worker.
 
 Both vocabularies split a text into words before any merge, and no token crosses from a
-non-space character into the white space after it. Cutting a text in front of every run of
-white space therefore leaves its ids unchanged, and the ids of a text are those of its words
-in a row. Words are kept in a bounded cache; unknown ones are encoded many at a time.
+non-space character into the white space after it (white space as their expressions know it).
+Cutting a text in front of every run of white space therefore leaves its ids unchanged, and the
+ids of a text are those of its words in a row. Words are kept in a bounded cache; unknown ones
+are encoded many at a time.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ import numpy as np
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
+# The tokenizers' white space. That of Python also holds U+001C to U+001F, which are symbols here.
+_SPACES = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # White space together with the word behind it, or what is left at the end of a text.
-_WORDS = re.compile(r"\s*\S+|\s+")
+_WORDS = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 _CACHED_WORDS = 1_000_000
 _CHUNK_CHARS = 1_000_000
 
@@ -38,8 +41,8 @@ class WordEncoder:
 
     def _learn(self, words: list[str]) -> None:
         """Encode words that start with white space in a row, the others alone."""
-        joined = [w for w in words if w[0].isspace() and not w[-1].isspace()]
-        alone = [w for w in words if not w[0].isspace() or w[-1].isspace()]
+        joined = [w for w in words if w[0] in _SPACES and w[-1] not in _SPACES]
+        alone = [w for w in words if w[0] not in _SPACES or w[-1] in _SPACES]
         for w, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False)):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
         at = 0

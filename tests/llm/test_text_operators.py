@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import brute
 from riskloom.llm import (
@@ -51,6 +52,23 @@ def test_cached_words_give_the_tokenizers_ids(path):
             assert np.frombuffer(ids, "<u4").tolist() == plain
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_are_cut_at_the_tokenizers_white_space(path):
+    odd = [chr(c) for c in range(0x3100) if chr(c).isspace()] + ["\u180e", "\u200b", "\ufeff"]
+    texts = [f"{a}{c}{b}" for c in odd for a in (" hello!", "a!", "x") for b in ("!x", "!b", "y")] + [" hello!"]
+    whole = Tokenizer.from_file(path)
+    for text, ids in zip(texts, WordEncoder(path).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_joined_words_do_not_merge():
+    for path in (WORDS, BYTES):
+        encoder, whole = WordEncoder(path), Tokenizer.from_file(path)
+        encoder._learn([" hello!", *[f"{chr(c)}!x" for c in range(0x1C, 0x20)], " hi"])
+        for word, ids in encoder.known.items():
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(word, add_special_tokens=False).ids, repr(word)
+
+
 def plain_ids(path, text):
     return WordEncoder(path).tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
