@@ -5,6 +5,10 @@ non-space character into the white space after it (white space as their expressi
 Cutting a text in front of every run of white space therefore leaves its ids unchanged, and the
 ids of a text are those of its words in a row. Words are kept in a bounded cache; unknown ones
 are encoded many at a time.
+
+The strings of added tokens are their ids, wherever they stand: the tokenizers cut a raw text
+there before anything else, and so does this module. It refuses added tokens for which that is
+not all there is to it.
 """
 
 from __future__ import annotations
@@ -35,9 +39,22 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
+        self.added: dict[str, bytes] = {}
+        for i, t in self.tokenizer.get_added_tokens_decoder().items():
+            if t.normalized or t.lstrip or t.rstrip or t.single_word:
+                raise ValueError(f"added token {t.content!r} takes in more than its string")
+            self.added[t.content] = np.array([i], "<u4").tobytes()
+        longest = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.cached_words = cached_words
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = dict(self.added)
+
+    def _split(self, text: str) -> list[str]:
+        """Words and strings of added tokens in a row."""
+        if not self.at_added or not self.at_added.search(text):
+            return _WORDS.findall(text)
+        parts = self.at_added.split(text)
+        return [w for i, part in enumerate(parts) for w in ([part] if i % 2 else _WORDS.findall(part))]
 
     def _learn(self, words: list[str]) -> None:
         """Encode words that start with white space in a row, the others alone."""
@@ -63,9 +80,9 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null text has none."""
-        split = [_WORDS.findall(t) if t else [] for t in texts]
+        split = [self._split(t) if t else [] for t in texts]
         if len(self.known) > self.cached_words:
-            self.known.clear()
+            self.known = dict(self.added)
         known = self.known
         new = set().union(*split).difference(known) if split else set()
         if new:

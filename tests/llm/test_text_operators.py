@@ -69,6 +69,30 @@ def test_joined_words_do_not_merge():
             assert np.frombuffer(ids, "<u4").tolist() == whole.encode(word, add_special_tokens=False).ids, repr(word)
 
 
+ADDED_TEXTS = [
+    "foo <|endoftext|> bar", "<|endoftext|>", "a<|endoftext|>b", "x  <|endoftext|>  y\n", "<|startoftext|><|endoftext|>.",
+    "<|endoftext|", "<|EndOfText|> <|endoftext|><|endoftext|>", "e\u0301<|endoftext|>\u0301 é", "plain words",
+]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_added_tokens_have_their_ids(path):
+    whole, encoder = Tokenizer.from_file(path), WordEncoder(path, cached_words=3)
+    for texts in (ADDED_TEXTS, ADDED_TEXTS[::-1], ODD_TEXTS):
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_token_files_hold_added_tokens(spark, tmp_path):
+    path, whole = str(tmp_path / "added"), Tokenizer.from_file(BYTES)
+    docs = spark.createDataFrame(list(enumerate(ADDED_TEXTS)), "doc_id long, text string")
+    token_files.write_token_files(docs, path, BYTES)
+    got = token_files.read_token_files(spark, path).orderBy("doc_id").collect()
+    for r, text in zip(got, ADDED_TEXTS, strict=True):
+        ids = np.array(whole.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes())), repr(text)
+
+
 def plain_ids(path, text):
     return WordEncoder(path).tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
