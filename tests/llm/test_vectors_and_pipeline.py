@@ -134,3 +134,14 @@ def test_pipeline_stages_take_odd_rows(spark, sf_dir):
             rows = df.collect()
             df = spark.createDataFrame(rows, df.schema)
         assert packing.PIECES.split()[0] in df.columns
+
+
+def test_one_row_of_each_group_stays(spark, sf_dir):
+    a, b, c, d = (" ".join(f"{name}{k}" for k in range(40)) for name in "abcd")
+    rows = [(1, a), (1, a), (1, b), (0, b), (None, a), (None, c), (None, c), (5, c + " end"), (None, d), (None, d + " end")]
+    rows = [(i, t, "en", "s1", len(t)) for i, t in rows]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each(spark, docs.repartition(4), sf_dir).collect()]
+    known = sorted(x for x in got if x[0] is not None)
+    assert known == [(0, b), (1, a), (5, c + " end")]
+    assert len(got) == 4 and all(t in (d, d + " end") for i, t in got if i is None)
