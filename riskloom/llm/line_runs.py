@@ -13,8 +13,9 @@ occurrence has an earlier copy of that length. Each suffix so reaches its longes
 occurs earlier in the corpus. Intervals are tables joined and summed by key, never a group
 gathered in a task.
 
-A run with at least ``min_words`` words is a copy, and its lines are deleted; the first
-occurrence always stays.
+Every run that occurs earlier is a copy, of a single short or empty line too, and its lines are
+deleted; the first occurrence always stays. A caller may spare runs below ``min_words`` words,
+which are what U+0020 separates, so it must know its texts to do so.
 
 Defined cases: rows that agree in id and text count as one document and get one result; null ids
 sort first; a null text has no lines and stays null; an empty text is one empty line; lines are
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.llm.common import keep, slices
 from riskloom.llm.sharding import numbered
 
-MIN_WORDS = 10
+MIN_WORDS = 0  # all runs
 LINE_BITS = 30  # a position is the document's number and 30 bits for the line
 
 

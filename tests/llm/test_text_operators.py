@@ -311,6 +311,16 @@ def test_later_runs_of_lines_against_comparison(spark):
     assert [r["text"] for r in sorted(got, key=lambda r: r["doc"]["doc_id"])] == brute.without_later_lines(docs, 7)
 
 
+def test_runs_of_any_script_and_separator_are_copies(spark):
+    table_row, plain, joined = "a\tb\tc", "这是一个没有空格的段落" * 20, "x\u00a0y\u00a0z " * 3
+    docs = [(1, f"{table_row}\nfirst\n"), (2, f"{table_row}\n{plain}\nHome"), (3, f"{plain}\nHome\n{joined}\nlast"),
+            (4, joined), (5, f"new\n\nfirst\n{table_row}\nend")]
+    got = line_runs.without_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    texts = [r["text"] for r in sorted(got, key=lambda r: r["doc"]["doc_id"])]
+    assert texts == [f"{table_row}\nfirst\n", f"{plain}\nHome", f"{joined}\nlast", "", "new\nend"]
+    assert texts == brute.without_later_lines(docs, 0)
+
+
 def test_lines_of_odd_rows(spark):
     got = line_runs.without_repeated_lines(table(spark, odd_rows())).collect()
     assert len(got) == len(odd_rows())
