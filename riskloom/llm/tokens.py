@@ -4,7 +4,12 @@ Both vocabularies split a text into words before any merge, and no token crosses
 non-space character into the white space after it (white space as their expressions know it).
 Cutting a text in front of every run of white space therefore leaves its ids unchanged, and the
 ids of a text are those of its words in a row. Words are kept in a bounded cache; unknown ones
-are encoded many at a time.
+are encoded many at a time. Unknown words of Latin-1 characters are split by the tokenizer's own
+expression and go straight to its merges, each distinct part once; all others pass through the
+whole tokenizer.
+
+A text without white space in a row, or at its end, is cut at its spaces and line ends alone,
+which leaves its other white space inside words; the same rule makes that right.
 
 The strings of added tokens are their ids, wherever they stand: the tokenizers cut a raw text
 there before anything else, and so does this module. It refuses added tokens for which that is
@@ -13,10 +18,14 @@ not all there is to it.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import regex
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -25,29 +34,99 @@ WORD_BPE = "word_bpe_49k.json"
 _SPACES = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # White space together with the word behind it, or what is left at the end of a text.
 _WORDS = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
+# Characters whose classes and lower case no two libraries see differently.
+_SIMPLE = re.compile("[\0-\x1b\x20-\x84\x86-\xff]*")
+# White space that further white space or the end of the text follows.
+_CROWDED = re.compile(r"[ \n](?:\s|\Z)")
+# Ahead of a word that is taken as it stands; others follow a space, or begin with a line end.
+_AS_IS = "\n "
 _CACHED_WORDS = 1_000_000
+_GATHERED = 1_000_000
 _CHUNK_CHARS = 1_000_000
 
+# ---- fixed values: how the tokenizers split a text ---------------------------
+BYTE_LEVEL_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+# ---- end of fixed values -----------------------------------------------------
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte to the character that stands for it in a byte-level vocabulary.
+
+    Printable characters other than spaces stand for themselves, the rest for those from 256 on.
+    """
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = sorted(set(range(256)).difference(printable))
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+def _own_split(tokenizer) -> tuple[regex.Pattern, bool] | None:
+    """The expression a tokenizer splits by and whether it lowers case, if it is of a known kind."""
+    config = json.loads(tokenizer.to_str())
+    steps = config["pre_tokenizer"] or {}
+    steps = steps.get("pretokenizers", [steps])
+    normal = config["normalizer"] or {"normalizers": []}
+    normal = [n["type"] for n in normal.get("normalizers", [normal])]
+    last = steps[-1]
+    if config["model"]["type"] != "BPE" or last.get("type") != "ByteLevel" or last["add_prefix_space"]:
+        return None
+    if len(steps) == 1 and last["use_regex"] and not normal:
+        return regex.compile(BYTE_LEVEL_PATTERN), False
+    first = steps[0]
+    if (
+        len(steps) == 2 and not last["use_regex"] and normal == WORD_NORMALIZERS
+        and first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
+    ):
+        return regex.compile(first["pattern"]["Regex"] + r"|\s+"), True
+    return None
+
+
+class _Numbers(dict):
+    """Numbers words in the order they come, and lists those it has not seen."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
 
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    ``cached_words`` bounds the memory of the cache; it never changes an id.
+    ``cached_words`` bounds the memory of the cache; it never changes an id. With ``plain`` the
+    strings of added tokens are ordinary text.
     """
 
-    def __init__(self, path: str, cached_words: int = _CACHED_WORDS):
+    def __init__(self, path: str, cached_words: int = _CACHED_WORDS, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
+        self.own_split = _own_split(self.tokenizer)
+        self.letters = byte_letters()
+        self.parts: dict[str, bytes] = {}
         self.added: dict[str, bytes] = {}
-        for i, t in self.tokenizer.get_added_tokens_decoder().items():
+        for i, t in ([] if plain else self.tokenizer.get_added_tokens_decoder().items()):
             if t.normalized or t.lstrip or t.rstrip or t.single_word:
                 raise ValueError(f"added token {t.content!r} takes in more than its string")
             self.added[t.content] = np.array([i], "<u4").tobytes()
         longest = sorted(self.added, key=len, reverse=True)
         self.at_added = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.cached_words = cached_words
-        self.known: dict[str, bytes] = dict(self.added)
+        self.forget()
+
+    def _words(self, text: str) -> list[str]:
+        """Words of a text, as the cache names them."""
+        if _CROWDED.search(text) or self.at_added and self.at_added.search(text):
+            return [_AS_IS + w for w in self._split(text)]
+        words = text.replace("\n", " \n").split(" ")
+        words[0] = _AS_IS + words[0]
+        return words
 
     def _split(self, text: str) -> list[str]:
         """Words and strings of added tokens in a row."""
@@ -57,6 +136,45 @@ class WordEncoder:
         return [w for i, part in enumerate(parts) for w in ([part] if i % 2 else _WORDS.findall(part))]
 
     def _learn(self, words: list[str]) -> None:
+        """Encode words and keep their ids in ``known``."""
+        if self.own_split:
+            simple, other = [], []
+            for w in words:
+                (simple if _SIMPLE.fullmatch(w) else other).append(w)
+            for at in range(0, len(simple), 100_000):
+                self._merge(simple[at : at + 100_000])
+            words = other
+        self._encode_rest(words)
+
+    def _merge(self, words: list[str]) -> None:
+        """Split simple words as the tokenizer does and merge each distinct part once.
+
+        A word starts with white space or is taken alone, so no part reaches over its end.
+        """
+        pattern, lower = self.own_split
+        joined = [w for w in words if w[0] in _SPACES and w[-1] not in _SPACES]
+        split = [pattern.findall(w.lower() if lower else w) for w in words if w[0] not in _SPACES or w[-1] in _SPACES]
+        row = "".join(joined)
+        found = pattern.findall(row.lower() if lower else row)
+        new = set(found).union(*split).difference(self.parts)
+        tokenize = self.tokenizer.model.tokenize
+        for part in new:
+            if lower and part.isspace():
+                self.parts[part] = b""
+                continue
+            spelled = part.encode().decode("latin-1").translate(self.letters)
+            self.parts[part] = np.array([t.id for t in tokenize(spelled)], "<u4").tobytes()
+        ids = self.parts.__getitem__
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        cuts = np.searchsorted(ends, np.cumsum([len(w) for w in joined], dtype=np.int64)) + 1
+        done = list(map(ids, found))
+        for w, a, b in zip(joined, [0, *cuts.tolist()], cuts.tolist()):
+            self.known[w] = b"".join(done[a:b])
+        alone = (w for w in words if w[0] not in _SPACES or w[-1] in _SPACES)
+        for w, parts in zip(alone, split):
+            self.known[w] = b"".join(map(ids, parts))
+
+    def _encode_rest(self, words: list[str]) -> None:
         """Encode words that start with white space in a row, the others alone."""
         joined = [w for w in words if w[0] in _SPACES and w[-1] not in _SPACES]
         alone = [w for w in words if w[0] not in _SPACES or w[-1] in _SPACES]
@@ -80,14 +198,41 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null text has none."""
-        split = [self._split(t) if t else [] for t in texts]
-        if len(self.known) > self.cached_words:
-            self.known = dict(self.added)
-        known = self.known
-        new = set().union(*split).difference(known) if split else set()
-        if new:
-            self._learn(list(new))
-        return [b"".join([known[w] for w in words]) for words in split]
+        split = [self._words(t) if t else [] for t in texts]
+        if max(len(self.numbers), len(self.parts)) > self.cached_words:
+            self.forget()
+        sizes = np.array([len(words) for words in split], np.int64)
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if self.numbers.new:
+            self._number_new()
+        ids = np.concatenate([*self._gathered(at), self.ids[:0]])
+        ends = np.concatenate(([0], np.cumsum(self.lengths[at])))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+    def _number_new(self) -> None:
+        """Encode the words that were numbered last and append their ids."""
+        new, self.numbers.new = self.numbers.new, []
+        words = [w[2:] if w.startswith(_AS_IS) else w if w.startswith("\n") else " " + w for w in new]
+        self._learn([w for w in words if w and w not in self.known])
+        found = [self.known[w] if w else b"" for w in words]
+        self.known = dict(self.added)
+        lengths = np.array([len(i) // 4 for i in found], np.int64)
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(found), "<u4")))
+
+    def _gathered(self, at: np.ndarray) -> Iterator[np.ndarray]:
+        """Ids of numbered words in a row."""
+        for begin in range(0, len(at), _GATHERED):
+            words = at[begin : begin + _GATHERED]
+            lengths = self.lengths[words]
+            ends = np.cumsum(lengths)
+            yield self.ids[np.arange(ends[-1]) + np.repeat(self.starts[words] - (ends - lengths), lengths)]
+
+    def forget(self) -> None:
+        """Empty the cache."""
+        self.numbers, self.parts, self.known = _Numbers(), {}, dict(self.added)
+        self.ids, self.lengths, self.starts = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
 @lru_cache(maxsize=4)
