@@ -1,7 +1,10 @@
 """Plain results of the operators' definitions, for small inputs."""
 
+import hashlib
+import math
 import re
 from collections import Counter
+from fractions import Fraction
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -115,3 +118,85 @@ def feistel(x, rows, seed, half_bits, round_keys, prime):
         x = upper << lower_bits | lower
         if x < rows:
             return x
+
+
+def alignments(docs, encode, first, second):
+    """``(id, n_a, n_b, groups, n_best, count_sum, links)`` per row, from whole texts and loops.
+
+    ``encode`` gives the ids of a text in both vocabularies, ``first`` and ``second`` map ids to bytes.
+    """
+    rows, held = [], Counter()
+    for key, text in docs:
+        a, b = encode(text) if text else ([], [])
+        raw = (" " + (text or "")).encode()
+        if b"".join(first[i] for i in a) != raw or b"".join(second[i] for i in b) != raw:
+            a, b = [], []
+        spans = []
+        for ids, known in ((a, first), (b, second)):
+            at, own = 0, []
+            for i in ids:
+                own.append((at, at + len(known[i]), i))
+                at += len(known[i])
+            spans.append(own)
+        links = [(x[2], y[2]) for x in spans[0] for y in spans[1] if max(x[0], y[0]) < min(x[1], y[1])]
+        shared = sorted({x[1] for x in spans[0]} & {y[1] for y in spans[1]})
+        groups, low = [], 0
+        for high in shared:
+            groups.append("|".join(",".join(str(x[2]) for x in own if low <= x[0] < high) for own in spans))
+            low = high
+        held.update(set(links))
+        rows.append((key, len(a), len(b), groups, links))
+    best = {}
+    for (a, _), n in held.items():
+        best[a] = max(best.get(a, 0), n)
+    return [
+        (key, n_a, n_b, groups, sum(held[x] == best[x[0]] for x in links), sum(held[x] for x in links), links)
+        for key, n_a, n_b, groups, links in rows
+    ]
+
+
+BENCHMARK_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def benchmark_words(text):
+    return BENCHMARK_WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def benchmark_hits(docs, items, width):
+    """``(id, words, hit positions, sorted items)`` per row."""
+    windows = []
+    for item, text in items:
+        words = benchmark_words(text)
+        size = min(width, len(words))
+        windows += [(item, words[k : k + size]) for k in range(len(words) - size + 1) if size]
+    out = []
+    for key, text in docs:
+        words, hit, found = benchmark_words(text), set(), set()
+        for item, window in windows:
+            for k in range(len(words) - len(window) + 1):
+                if words[k : k + len(window)] == window:
+                    hit.update(range(k, k + len(window)))
+                    found.add(item)
+        out.append((key, len(words), sorted(hit), sorted({str(i) for i in found if i is not None})))
+    return out
+
+
+def lloyd(vectors, k, rounds, scale, seed):
+    """``(id, cluster, distance)`` per usable row and the centroids, with whole numbers alone."""
+    kept = [
+        (key, [math.floor(Fraction(x) * scale) for x in v]) for key, v in vectors
+        if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    named = [(hashlib.sha256(f"{seed}:{key}".encode()).hexdigest(), q) for key, q in kept if key is not None]
+    centroids = [q for _, q in sorted(named)[:k]]
+
+    def nearest(q):
+        return min((sum((x - y) ** 2 for x, y in zip(q, c)), i) for i, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = {}
+        for _, q in kept:
+            members.setdefault(nearest(q)[1], []).append(q)
+        for i, own in members.items():
+            centroids[i] = [sum(column) // len(own) for column in zip(*own)]
+    return [(key, *nearest(q)[::-1]) for key, q in kept], centroids
