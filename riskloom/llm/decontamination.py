@@ -116,16 +116,16 @@ def scan(
     looked = placed.select("_id", "_md5", "_words", "_pos", F.inline(F.array(*keys)))
     rows = None
     for number, part in enumerate(parts):
-        same = lambda f: f["_window"] == F.slice("_words", F.col("_pos") + 1, F.col("_len"))
-        hits = looked.join(F.broadcast(part), ["_len", "_hash"], "left").select(
-            "_id", "_md5", F.size("_words").alias("_n"), "_pos", "_len",
-            F.when(F.col("_found").isNotNull(), F.filter("_found", same)).alias("_hit"),
-            (first & (F.col("_len") == (lengths or [0])[0]) & F.lit(number == 0)).alias("_first"),
+        # No function with a lambda here: the words would leave the compiled stage at every position.
+        found = looked.join(F.broadcast(part), ["_len", "_hash"], "left").select(
+            "_id", "_md5", "_words", "_pos", "_len", F.posexplode_outer("_found").alias("_nth", "_each")
         )
-        hits = hits.filter(F.col("_first") | (F.size("_hit") > 0)).select(
-            "_id", "_md5", "_n", "_first",
-            F.when(F.size("_hit") > 0, F.struct(F.col("_pos").alias("from"), (F.col("_pos") + F.col("_len")).alias("to"))).alias("_span"),
-            F.when(F.size("_hit") > 0, F.get("_hit", F.lit(0))["_items"]).alias("_items"),
+        same = F.coalesce(F.col("_each._window") == F.slice("_words", F.col("_pos") + 1, F.col("_len")), F.lit(False))
+        stands = first & (F.col("_len") == (lengths or [0])[0]) & (F.coalesce("_nth", F.lit(0)) == 0) & F.lit(number == 0)
+        hits = found.filter(same | stands).select(
+            "_id", "_md5", F.size("_words").alias("_n"), stands.alias("_first"),
+            F.when(same, F.struct(F.col("_pos").alias("from"), (F.col("_pos") + F.col("_len")).alias("to"))).alias("_span"),
+            F.when(same, F.col("_each._items")).alias("_items"),
         )
         rows = hits if rows is None else rows.unionAll(hits)
     merged = (
