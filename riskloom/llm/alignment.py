@@ -35,6 +35,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.common import keep, row_batch, slices
-from riskloom.llm.tokens import _SPACES, WordEncoder, byte_letters
+from riskloom.llm.tokens import _SPACES, Numbers, WordEncoder, as_is, byte_letters, crowded, cut_words, spelled
 
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
 HELD_PAIRS = 2_000_000
 MOST_SHARED = 1 << 19
 # A pair of ids is one number: the first above, the second in the lower bits.
@@ -108,6 +109,8 @@ class Aligner:
         self.same = identity_map(self.first_bytes, self.second_bytes, self.second)
         self.space = self.second.piece_to_id(SPACE_PIECE)
         self.words = self._word_pattern()
+        most = max(len(self.first_bytes), len(self.second_bytes))
+        self.signed = {sign: np.array([f"{i}{sign}" for i in range(most)], object) for sign in ",|;"}
         self.cached_words = cached_words
         self.forget()
 
@@ -124,7 +127,7 @@ class Aligner:
         return re.compile(f"[{_SPACES}]*[^{_SPACES}]+{more}|[{_SPACES}]+")
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Numbers()
         self.groups: list[str] = []
         self.sizes = np.zeros((0, 5), np.int64)  # first tokens, second tokens, groups, links, whether bytes agree
         self.codes, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -137,63 +140,79 @@ class Aligner:
 
     def learn(self, words: list[str]) -> None:
         """Align new words, all at once, and append them to the arrays."""
-        firsts = [np.frombuffer(b, "<u4") for b in self.first.encode(words)]
-        # Words are known here from now on; only the parts they share with others are of use there.
-        self.first.known = {}
-        if len(self.first.parts) > self.cached_words:
-            self.first.forget()
-        seconds = self._second_ids(words)
-        agree = np.array(
-            [
-                b"".join(map(self.first_bytes.__getitem__, a.tolist())) == raw
-                and b"".join(map(self.second_bytes.__getitem__, b)) == raw
-                for raw, a, b in zip((w.encode() for w in words), firsts, seconds)
-            ],
-            bool,
-        )
-        good = np.flatnonzero(agree).tolist()
-        n_a = np.array([len(firsts[k]) for k in good], np.int64)
-        n_b = np.array([len(seconds[k]) for k in good], np.int64)
-        a = np.concatenate([firsts[k] for k in good]).astype(np.int64) if good else np.zeros(0, np.int64)
-        b = np.array([i for k in good for i in seconds[k]], np.int64)
+        firsts, seconds = self.first.ids_of(words), self._second_ids(words)
+        n_a, n_b = np.fromiter(map(len, firsts), np.int64) // 4, np.fromiter(map(len, seconds), np.int64)
+        a = np.frombuffer(b"".join(firsts), "<u4").astype(np.int64)
+        b = np.fromiter(chain.from_iterable(seconds), np.int64, int(n_b.sum()))
+        agree = self._agreeing(words, a, b, n_a, n_b)
+        sizes = np.zeros((len(words), 5), np.int64)
+        sizes[:, 4] = agree
+        a, b, n_a, n_b = a[np.repeat(agree, n_a)], b[np.repeat(agree, n_b)], n_a[agree], n_b[agree]
         # One row of bytes for all words: every word's end is an end of both its tokens.
         a_ends, b_ends = np.cumsum(self.first_sizes[a]), np.cumsum(self.second_sizes[b])
         shared, every = np.intersect1d(a_ends, b_ends, True), np.union1d(a_ends, b_ends)
         codes = a[np.searchsorted(a_ends, every)] << SECOND_BITS | b[np.searchsorted(b_ends, every)]
-        word_ends = a_ends[np.cumsum(n_a) - 1] if good else np.zeros(0, np.int64)
+        word_ends = a_ends[np.cumsum(n_a) - 1]
         last_link, last_group = np.searchsorted(every, word_ends, "right"), np.searchsorted(shared, word_ends, "right")
-        sizes = np.zeros((len(words), 5), np.int64)
-        sizes[good, 0], sizes[good, 1] = n_a, n_b
-        sizes[good, 2], sizes[good, 3] = np.diff(last_group, prepend=0), np.diff(last_link, prepend=0)
-        sizes[:, 4] = agree
-        a_cuts = np.searchsorted(a_ends, shared, "right").tolist()
-        b_cuts = np.searchsorted(b_ends, shared, "right").tolist()
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        spelled, i, j = [], 0, 0
-        for p, q in zip(a_cuts, b_cuts):
-            spelled.append(f"{a_text[i]}|{b_text[j]}" if p - i == 1 == q - j else f"{','.join(a_text[i:p])}|{','.join(b_text[j:q])}")
-            i, j = p, q
-        texts, at = [""] * len(words), 0
-        for k, end in zip(good, last_group.tolist()):
-            texts[k], at = ";".join(spelled[at:end]), end
-        base = len(self.groups)
-        self.index.update(zip(words, range(base, base + len(words))))
+        sizes[agree, 0], sizes[agree, 1] = n_a, n_b
+        sizes[agree, 2], sizes[agree, 3] = np.diff(last_group, prepend=0), np.diff(last_link, prepend=0)
+        spelled_out = self._spelled_out(a, b, a_ends, b_ends, shared)
+        texts, cuts = [""] * len(words), np.cumsum(n_a + n_b).tolist()
+        for k, at, end in zip(np.flatnonzero(agree).tolist(), [0, *cuts], cuts):
+            texts[k] = "".join(spelled_out[at:end])
         self.groups += texts
         self.sizes = np.concatenate((self.sizes, sizes))
         self.codes = np.concatenate((self.codes, codes))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes[:, 3])))
 
+    def _agreeing(self, words: list[str], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """Whether the bytes of the tokens of each word are the word's, in both vocabularies."""
+        raw = list(map(str.encode, words))
+        sizes = np.fromiter(map(len, raw), np.int64)
+        agree = np.ones(len(words), bool)
+        for ids, n, known in ((a, n_a, self.first_sizes), (b, n_b, self.second_sizes)):
+            ends = np.concatenate(([0], np.cumsum(known[ids])))[np.concatenate(([0], np.cumsum(n)))]
+            agree &= np.diff(ends) == sizes
+        for ids, n, known in ((a, n_a, self.first_bytes), (b, n_b, self.second_bytes)):
+            found = list(map(known.__getitem__, ids[np.repeat(agree, n)].tolist()))
+            own = np.flatnonzero(agree).tolist()
+            if b"".join(found) != b"".join([raw[k] for k in own]):
+                # Words of equal sizes that differ: found one by one.
+                at = 0
+                for k, size in zip(own, n[agree].tolist()):
+                    agree[k] = b"".join(found[at : at + size]) == raw[k]
+                    at += size
+        return agree
+
+    def _spelled_out(
+        self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, shared: np.ndarray
+    ) -> list[str]:
+        """Ids of all groups in a row, each with the sign behind it: the first ids of a group, then its second."""
+        a_group, b_group = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+        row = np.empty(len(a) + len(b), object)
+        for ids, group, other, end, last in (
+            (a, a_group, np.searchsorted(b_group, a_group), "|", np.isin(a_ends, shared, True)),
+            (b, b_group, np.searchsorted(a_group, b_group, "right"), ";", np.isin(b_ends, shared, True)),
+        ):
+            row[np.arange(len(ids)) + other] = np.where(last, self.signed[end][ids], self.signed[","][ids])
+        return row.tolist()
+
     def align(self, texts: list[str | None]) -> list[tuple]:
         """Per text its counts, groups, and distinct links with the times each occurs."""
-        split = [self.words.findall(" " + t) if t else [] for t in texts]
         if len(self.index) > self.cached_words:
             self.forget()
-        new = set().union(*split).difference(self.index) if split else set()
-        if new:
-            self.learn(list(new))
-        number, out = self.index.__getitem__, []
-        for words in split:
-            at = np.fromiter(map(number, words), np.int64, len(words))
+        # Cut text by text: the new words are aligned together once all are numbered.
+        numbered = []
+        for text in texts:
+            row = " " + text if text else ""
+            # The first of the words of a row that is cut at spaces is an empty one.
+            words = [] if not text else as_is(self.words.findall(row)) if crowded(row) else cut_words(row)[1:]
+            numbered.append(np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)))
+        if self.index.new:
+            new, self.index.new = self.index.new, []
+            self.learn(list(map(spelled, new)))
+        out = []
+        for at in numbered:
             if not len(at) or not self.sizes[at, 4].all():
                 out.append((0, 0, 0, 0, None, at[:0], at[:0]))
                 continue
@@ -203,7 +222,7 @@ class Aligner:
             places = np.arange(ends[-1]) + np.repeat(self.starts[at] - (ends - sizes), sizes)
             links, times = np.unique(self.codes[places], return_counts=True)
             counts = self.sizes[at, :4].sum(axis=0).tolist()
-            out.append((*counts, ";".join(map(self.groups.__getitem__, at.tolist())), links, times))
+            out.append((*counts, "".join(map(self.groups.__getitem__, at.tolist()))[:-1], links, times))
         return out
 
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -83,7 +84,29 @@ def _own_split(tokenizer) -> tuple[regex.Pattern, bool] | None:
     return None
 
 
-class _Numbers(dict):
+def crowded(text: str) -> bool:
+    """Whether the text has white space in a row or at its end."""
+    return _CROWDED.search(text) is not None
+
+
+def cut_words(text: str) -> list[str]:
+    """Names of the words of a text that is not crowded: it is cut at spaces and line ends alone."""
+    words = text.replace("\n", " \n").split(" ")
+    words[0] = _AS_IS + words[0]
+    return words
+
+
+def as_is(words: list[str]) -> list[str]:
+    """Names of words that are taken as they stand."""
+    return [_AS_IS + w for w in words]
+
+
+def spelled(name: str) -> str:
+    """The word of a name."""
+    return name[2:] if name.startswith(_AS_IS) else name if name.startswith("\n") else " " + name
+
+
+class Numbers(dict):
     """Numbers words in the order they come, and lists those it has not seen."""
 
     def __init__(self):
@@ -122,11 +145,9 @@ class WordEncoder:
 
     def _words(self, text: str) -> list[str]:
         """Words of a text, as the cache names them."""
-        if _CROWDED.search(text) or self.at_added and self.at_added.search(text):
-            return [_AS_IS + w for w in self._split(text)]
-        words = text.replace("\n", " \n").split(" ")
-        words[0] = _AS_IS + words[0]
-        return words
+        if crowded(text) or self.at_added and self.at_added.search(text):
+            return as_is(self._split(text))
+        return cut_words(text)
 
     def _split(self, text: str) -> list[str]:
         """Words and strings of added tokens in a row."""
@@ -162,8 +183,8 @@ class WordEncoder:
             if lower and part.isspace():
                 self.parts[part] = b""
                 continue
-            spelled = part.encode().decode("latin-1").translate(self.letters)
-            self.parts[part] = np.array([t.id for t in tokenize(spelled)], "<u4").tobytes()
+            letters = part.encode().decode("latin-1").translate(self.letters)
+            self.parts[part] = array("I", [t.id for t in tokenize(letters)]).tobytes()
         ids = self.parts.__getitem__
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         cuts = np.searchsorted(ends, np.cumsum([len(w) for w in joined], dtype=np.int64)) + 1
@@ -212,15 +233,21 @@ class WordEncoder:
     def _number_new(self) -> None:
         """Encode the words that were numbered last and append their ids."""
         new, self.numbers.new = self.numbers.new, []
-        words = [w[2:] if w.startswith(_AS_IS) else w if w.startswith("\n") else " " + w for w in new]
-        self._learn([w for w in words if w and w not in self.known])
-        found = [self.known[w] if w else b"" for w in words]
-        self.known = dict(self.added)
+        found = self.ids_of(list(map(spelled, new)))
         lengths = np.array([len(i) // 4 for i in found], np.int64)
         self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
         self.lengths = np.concatenate((self.lengths, lengths))
         self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(found), "<u4")))
 
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of words, which are not kept; only the parts they share with others are."""
+        self._learn([w for w in words if w and w not in self.known])
+        found = [self.known[w] if w else b"" for w in words]
+        self.known = dict(self.added)
+        if len(self.parts) > self.cached_words:
+            self.parts = {}
+        return found
+
     def _gathered(self, at: np.ndarray) -> Iterator[np.ndarray]:
         """Ids of numbered words in a row."""
         for begin in range(0, len(at), _GATHERED):
@@ -231,7 +258,7 @@ class WordEncoder:
 
     def forget(self) -> None:
         """Empty the cache."""
-        self.numbers, self.parts, self.known = _Numbers(), {}, dict(self.added)
+        self.numbers, self.parts, self.known = Numbers(), {}, dict(self.added)
         self.ids, self.lengths, self.starts = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
