@@ -21,11 +21,9 @@ RATIOS = ["lab_procedure_intensity", "procedure_intensity", "medication_intensit
           "diagnosis_complexity", "med_change_ratio"]
 CAT = ["race", "gender", "diag1_category", "diag2_category", "diag3_category", "admission_type_id",
        "discharge_disposition_grouped", "admission_source_grouped"]
-SUMMARY = ["time_in_hospital", "num_lab_procedures", "num_medications", "number_diagnoses",
-           "number_inpatient", "number_emergency", "number_outpatient"]
-LINEAR = [("time_in_hospital", "0.04", "7.0"), ("num_procedures", "-0.02", "3.0"),
-          ("number_inpatient", "0.45", "0.6"), ("number_emergency", "0.3", "0.5"),
-          ("number_outpatient", "0.05", "1.0")]
+SUMMARY = ["time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications", "number_outpatient",
+           "number_emergency", "number_inpatient", "number_diagnoses"]
+LINEAR = [(f, repr(((7 * i) % 11 - 5) / 50), repr(float((3 * i) % 7))) for i, f in enumerate(NUM)]
 
 
 def r6(expr: str) -> str:
@@ -294,7 +292,7 @@ FOLD = "(" + " + ".join(f"(place >= floor(size * {i / 5!r}::double + 0.5))::int"
 def contributions() -> str:
     return " UNION ALL ".join(
         f"SELECT encounter_id, {i} AS idx, '{f}' AS feature, "
-        f"{c}::double * ({f} - {m}::double) AS v FROM enc"
+        f'{c}::double * (coalesce("{f}"::double, {m}::double) - {m}::double) AS v FROM feat'
         for i, (f, c, m) in enumerate(LINEAR)
     )
 
@@ -393,13 +391,18 @@ modes AS (SELECT feature, value AS mode FROM levels
   QUALIFY row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) = 1)"""
 
 
-def one_hot() -> str:
-    """Vocabulary and modes of training rows, applied to all rows."""
+def learned_levels() -> str:
+    """Vocabulary of training rows."""
     return f"""{ROWS}, {split_rank('feat', 'readmitted')},
 split AS (SELECT *, {SPLIT} AS split FROM ranked),
 trained AS (SELECT * FROM split WHERE split = 'train'),
 levels AS (SELECT feature, value, count(*) AS n FROM (
-    SELECT * FROM ({long('trained', CAT, kind='varchar')}) WHERE value IS NOT NULL) GROUP BY ALL),
+    SELECT * FROM ({long('trained', CAT, kind='varchar')}) WHERE value IS NOT NULL) GROUP BY ALL)"""
+
+
+def one_hot() -> str:
+    """Vocabulary and modes of training rows, applied to all rows."""
+    return f"""{learned_levels()},
 modes AS (SELECT feature, value AS mode FROM levels
   QUALIFY row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) = 1),
 cells AS (SELECT l.encounter_id, l.feature, coalesce(l.value, m.mode) AS value
@@ -434,8 +437,8 @@ ORACLES: dict[str, str] = {
     "score_requests_scan": f"""{ROWS} SELECT encounter_id, age_ordinal::bigint AS age_ordinal,
         num_lab_procedures, {r6('lab_procedure_intensity')} AS lab_procedure_intensity, race,
         admission_type_id FROM feat""",
-    "reference_snapshot": f"""{W_SIDES} SELECT encounter_id, time_in_hospital, num_lab_procedures,
-        total_prior_visits, {r6('med_change_ratio')} AS med_change_ratio FROM side WHERE NOT cur""",
+    "reference_snapshot": W_SIDES + " SELECT encounter_id, "
+        + ", ".join(f'{r6(c)} AS {c}' if c in RATIOS else f'"{c}"' for c in NUM) + " FROM side WHERE NOT cur",
     "drop_low_signal_columns": W_ENC + " SELECT * EXCLUDE (patient_nbr, weight, payer_code, "
         + ", ".join(f'"{m}"' for m in MEDS) + ") FROM enc",
     "clean_encounters": W_ENC + " SELECT * EXCLUDE (patient_nbr, weight, payer_code, medical_specialty, "
@@ -485,13 +488,12 @@ ORACLES: dict[str, str] = {
     "one_hot_long": one_hot(),
     "scaled_long": FILLED + ", " + "cells AS (" + " UNION ALL ".join(
         f"SELECT encounter_id, 'num__{c}' AS feature, (v - avg(v) OVER ()) / stddev_pop(v) OVER () AS value "
-        f"FROM (SELECT encounter_id, coalesce(f.{c}::double, med.{c}) AS v FROM feat f, med)"
-        for c in ("num_lab_procedures", "time_in_hospital")
+        f'FROM (SELECT encounter_id, coalesce(f."{c}"::double, med."{c}") AS v FROM feat f, med)'
+        for c in NUM
     ) + f") SELECT encounter_id, feature, {r6('value')} AS value FROM cells WHERE cells.value <> 0",
     "feature_name_table": f"""{ROWS}, {MODES}, names AS (
-        SELECT 0 AS part, 0 AS col, 'num__age_ordinal' AS name UNION ALL SELECT 0, 1, 'num__num_procedures'
-        UNION ALL SELECT 1, list_position(['race', 'gender', 'diag1_category'], feature),
-          'cat__' || feature || '_' || value FROM levels WHERE feature IN ('race', 'gender', 'diag1_category'))
+        SELECT 0 AS part, generate_subscripts({NUM}, 1) AS col, 'num__' || unnest({NUM}) AS name
+        UNION ALL SELECT 1, list_position({CAT}, feature), 'cat__' || feature || '_' || value FROM levels)
         SELECT (row_number() OVER (ORDER BY part, col, name) - 1)::int AS idx, name FROM names""",
     "cumulative_counts": f"{W_SCORED}, {curve('scored')} SELECT p, pos, neg, tp, fp FROM cum",
     "best_model_by_score": f"""WITH {ENC}, {TWO}, {curve('two', 'model')}
@@ -596,19 +598,36 @@ ORACLES |= {
     "stratified_folds": f"{ROWS}, {split_rank('feat', 'readmitted')} SELECT encounter_id, readmitted, {FOLD} AS fold FROM ranked",
     "class_weights": f"""{ROWS}, c AS (SELECT readmitted AS label, count(*) AS n FROM feat GROUP BY readmitted)
         SELECT label, n, {r6('(SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n)')} AS weight FROM c""",
-    "linear_contributions": f"{W_ENC}, {PHI} SELECT encounter_id, idx, feature, {r6('v')} AS contribution FROM phi",
-    "top_reasons": f"""{W_ENC}, {PHI}, ranked AS (SELECT *, row_number() OVER
+    "linear_contributions": f"{ROWS}, {PHI} SELECT encounter_id, idx, feature, {r6('v')} AS contribution FROM phi",
+    "top_reasons": f"""{ROWS}, {PHI}, ranked AS (SELECT *, row_number() OVER
         (PARTITION BY encounter_id ORDER BY abs(v) DESC, idx) AS rn FROM phi)
         SELECT encounter_id, (rn - 1)::int AS place, feature, {r6('abs(v)')} AS impact,
         CASE WHEN v > 0 THEN 'increased risk' ELSE 'decreased risk' END AS direction FROM ranked WHERE rn <= 3""",
-    "global_importance": f"{W_ENC}, {PHI} SELECT feature, {r6('avg(abs(v))')} AS importance FROM phi GROUP BY feature",
-    "top_importance": f"""{W_ENC}, {PHI} SELECT feature, {r6('avg(abs(v))')} AS importance FROM phi
+    "global_importance": f"{ROWS}, {PHI} SELECT feature, {r6('avg(abs(v))')} AS importance FROM phi GROUP BY feature",
+    "top_importance": f"""{ROWS}, {PHI} SELECT feature, {r6('avg(abs(v))')} AS importance FROM phi
         GROUP BY feature ORDER BY avg(abs(v)) DESC, feature LIMIT 3""",
     "psi": f"{W_SIDES}, {psi_ks('lv')} SELECT feature, {r6('psi')} AS psi FROM psi",
     "ks_test": f"""{W_SIDES}, {psi_ks('lv')} SELECT feature, {r6('d')} AS ks_statistic,
         {r6('pv')} AS ks_p_value FROM ks""",
     "event_value_ks": f"""WITH ev AS (SELECT 'value' AS feature, value, event_type = 'click' AS cur FROM events
         WHERE value IS NOT NULL AND event_type IS NOT NULL), {psi_ks('ev')} {REPORT}""",
+    "user_value_ks": f"""WITH RECURSIVE ev AS (SELECT user_id::varchar AS feature, value, event_type = 'click' AS cur
+        FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL),
+    sizes AS (SELECT feature, count(*) FILTER (NOT cur) AS n, count(*) FILTER (cur) AS m FROM ev GROUP BY feature
+        HAVING count(*) FILTER (NOT cur) > 0 AND count(*) FILTER (cur) > 0),
+    cum AS (SELECT feature, sum(c0) OVER w AS a, sum(c1) OVER w AS b FROM (SELECT feature, value,
+        count(*) FILTER (NOT cur) AS c0, count(*) FILTER (cur) AS c1 FROM ev GROUP BY feature, value)
+        WINDOW w AS (PARTITION BY feature ORDER BY value)),
+    ks AS (SELECT feature, n, m, max(abs(a * m - b * n)) AS h FROM cum JOIN sizes USING (feature) GROUP BY ALL),
+    paths AS (SELECT feature, n, m, h, 0 AS s, 0 AS i, 1.0::double AS p FROM ks UNION ALL
+        SELECT feature, n, m, h, s + 1, i + step,
+            sum(p * CASE WHEN step = 1 THEN n - i ELSE m - (s - i) END / (n + m - s))::double
+        FROM paths, (VALUES (0), (1)) AS d(step)
+        WHERE s < n + m AND abs((i + step) * m - (s + 1 - i - step) * n) < h
+        GROUP BY feature, n, m, h, s, i + step)
+    SELECT ks.feature, {r6('ks.h / (ks.n * ks.m)')} AS ks_statistic,
+        {r6('1 - coalesce(sum(p), 0)')} AS ks_p_value
+    FROM ks LEFT JOIN paths ON paths.feature = ks.feature AND s = ks.n + ks.m GROUP BY ks.feature, ks.h, ks.n, ks.m""",
     "drift_report": f"{W_SIDES}, {psi_ks('lv')} {REPORT}",
     "drift_summary": f"""{W_SIDES}, {psi_ks('lv')} SELECT count(*) FILTER (dr) AS n_features_drifted,
         coalesce(bool_or(dr), false) AS drift_detected FROM report""",
@@ -619,6 +638,23 @@ ORACLES |= {
         CASE WHEN feature = 'num_procedures' THEN false ELSE dr END AS drifted FROM report""",
 }
 
+REQUIRED = ("age_ordinal", "time_in_hospital", "num_lab_procedures", "num_medications", "number_diagnoses",
+            "num_med_changes", "num_meds_active", "total_prior_visits", "insulin_changed", "gender")
+RECORD_ERRORS = ", ".join(
+    broken(*rule) if rule[0] in REQUIRED else broken(*rule).replace(f'"{rule[0]}" IS NULL', "false") for rule in RULES
+)
+RECORDS = f"""{ROWS}, rec AS (SELECT * REPLACE (
+    CASE WHEN encounter_id % 5 <> 0 THEN race END AS race,
+    CASE WHEN encounter_id % 5 <> 0 THEN num_procedures END AS num_procedures,
+    CASE WHEN encounter_id % 7 <> 0 THEN gender END AS gender,
+    CASE WHEN encounter_id % 11 <> 0 THEN time_in_hospital END AS time_in_hospital) FROM feat),
+checked AS (SELECT *, encounter_id % 13 = 0 AS cut_off, list_filter([{RECORD_ERRORS}], lambda e: e IS NOT NULL) AS errors FROM rec)
+SELECT CASE WHEN NOT cut_off THEN encounter_id END AS encounter_id,
+    CASE WHEN NOT cut_off AND len(errors) = 0 THEN coalesce(race, 'Unknown') END AS race,
+    CASE WHEN NOT cut_off AND len(errors) = 0 THEN coalesce(num_procedures, 0)::double END AS num_procedures,
+    CASE WHEN cut_off THEN '_corrupt_record' ELSE array_to_string(errors, ',') END AS errors,
+    NOT cut_off AND len(errors) = 0 AS scored FROM checked"""
+
 VALID = f"SELECT encounter_id FROM (SELECT encounter_id, {error_list()} AS errors FROM feat) WHERE len(errors) = 0"
 CONSISTENT = f"""{ROWS} SELECT encounter_id, true AS in_range, true AS decided, true AS tiered, 3::int AS reasons
     FROM ({VALID})"""
@@ -636,6 +672,13 @@ ORACLES |= {
     "evaluation_curves": f"""{ROWS}, {split_rank('feat', 'readmitted')} SELECT count(*) AS binned, count(*) AS counted
         FROM ranked WHERE {SPLIT} = 'test'""",
     "tree_contributions": f"{ROWS} SELECT encounter_id, true AS additive, 1::int AS reasons FROM feat",
+    "path_contributions": f"{ROWS} SELECT encounter_id, true AS additive, true AS each_feature_once FROM feat",
+    "reloaded_scores": f"{ROWS} SELECT encounter_id, true AS same FROM ({VALID})",
+    "model_card": f"""{learned_levels()}
+        SELECT 'LogisticRegressionModel' AS model_type, 'check' AS model_version, 0.12::double AS threshold,
+        ({len(NUM)} + (SELECT count(*) FROM levels))::int AS n_features, ({len(NUM)} + (SELECT count(*) FROM levels))::int AS named""",
+    "explained_row": f"{ROWS} SELECT min(encounter_id) AS encounter_id, 3::int AS reasons, true AS ordered FROM feat",
+    "records_scored_with_defaults": RECORDS,
     "batch_scores": CONSISTENT,
     "streamed_scores": CONSISTENT,
     "rejected_requests": f"""{ROWS} SELECT encounter_id, array_to_string(errors, ',') AS errors FROM (

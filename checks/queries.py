@@ -14,11 +14,11 @@ from riskloom.functions.codes import icd9_category
 from riskloom.functions.scoring import decision, risk_tier, round_score
 from riskloom.operators import (
     attribution, cleaning, counts, drift, encoding, fairness, features, lookups, profiling,
-    scores, splits,
+    scores, splits, vocabulary as vocabularies,
 )
 from riskloom.plans import evaluation, models, scoring, training
 from riskloom.schema import (
-    ADMISSION_SOURCE_GROUPS, CATEGORICAL_FEATURES, MEDICATIONS, NUMERIC_FEATURES, RAW_COLUMNS,
+    ADMISSION_SOURCE_GROUPS, CATEGORICAL_FEATURES, COUNT_COLUMNS, MEDICATIONS, NUMERIC_FEATURES, RAW_COLUMNS,
     TARGET,
 )
 from riskloom.session import scratch_path, settle, stored, tune
@@ -27,15 +27,9 @@ from riskloom.streaming import scoring as streaming
 
 KEY = "encounter_id"
 CUT = 0.12
-SUMMARY_COLUMNS = ("time_in_hospital", "num_lab_procedures", "num_medications", "number_diagnoses",
-                   "number_inpatient", "number_emergency", "number_outpatient")
 # Fixed linear model of the contribution queries: feature, coefficient, background mean.
-LINEAR = (
-    ("time_in_hospital", 0.04, 7.0),
-    ("num_procedures", -0.02, 3.0),
-    ("number_inpatient", 0.45, 0.6),
-    ("number_emergency", 0.3, 0.5),
-    ("number_outpatient", 0.05, 1.0),
+LINEAR = tuple(
+    (name, ((7 * i) % 11 - 5) / 50, float((3 * i) % 7)) for i, name in enumerate(NUMERIC_FEATURES)
 )
 
 
@@ -142,8 +136,7 @@ def reference_snapshot(t):
     """Raw numeric features of the reference rows, written and read back."""
     path = scratch_path(t.spark, "reference")
     reference, _ = t.sides()
-    names = ["time_in_hospital", "num_lab_procedures", "total_prior_visits", "med_change_ratio"]
-    artifacts.save_reference(reference, [KEY, *names], path)
+    artifacts.save_reference(reference, [KEY, *NUMERIC_FEATURES], path)
     return artifacts.load_reference(t.spark, path)
 
 
@@ -367,21 +360,19 @@ def vocabulary(t):
 
 @query
 def one_hot_long(t):
-    """Encoder fitted on training rows, categories of all rows in long form."""
+    """Vocabulary table of training rows, categories of all rows in long form."""
     rows = splits.assign_splits(settle(t.model_rows()), KEY)
-    encoder = encoding.TabularEncoder([], CATEGORICAL_FEATURES).fit(rows.filter("split = 'train'"))
-    encoded = encoding.encode(encoder, rows, [KEY])
-    return encoding.long_features(encoded, encoding.feature_names(encoder), KEY).select(
+    encoder = vocabularies.fit(rows.filter("split = 'train'"), [], CATEGORICAL_FEATURES)
+    return vocabularies.long_entries(encoder, rows, KEY).select(
         KEY, "feature", F.col("value").cast("int").alias("value")
     )
 
 
 @query
 def scaled_long(t):
-    """Two scaled columns of the fitted encoder in long form."""
+    """All scaled columns of the fitted encoder in long form."""
     rows = settle(t.model_rows())
-    names = ["num_lab_procedures", "time_in_hospital"]
-    encoder = encoding.TabularEncoder(names, []).fit(rows)
+    encoder = encoding.TabularEncoder(NUMERIC_FEATURES, []).fit(rows)
     return encoding.long_features(
         encoding.encode(encoder, rows, [KEY]), encoding.feature_names(encoder), KEY
     )
@@ -390,8 +381,7 @@ def scaled_long(t):
 @query
 def feature_name_table(t):
     rows = settle(t.model_rows())
-    encoder = encoding.TabularEncoder(["age_ordinal", "num_procedures"], ["race", "gender", "diag1_category"]).fit(rows)
-    return encoding.name_table(encoder, rows)
+    return vocabularies.fit(rows).names
 
 
 # ---- windows and order ------------------------------------------------------------
@@ -417,7 +407,7 @@ def null_report(t):
 
 @query
 def describe(t):
-    return profiling.describe(t.encounters(), SUMMARY_COLUMNS)
+    return profiling.describe(t.encounters(), COUNT_COLUMNS)
 
 
 @query
@@ -438,7 +428,7 @@ def group_rates(t):
 
 @query
 def histogram(t):
-    return profiling.histogram(t.encounters(), SUMMARY_COLUMNS, 30)
+    return profiling.histogram(t.encounters(), COUNT_COLUMNS, 30)
 
 
 @query
@@ -448,7 +438,7 @@ def event_value_histogram(t):
 
 @query
 def correlations(t):
-    return profiling.correlations(t.encounters(), SUMMARY_COLUMNS)
+    return profiling.correlations(t.encounters(), COUNT_COLUMNS)
 
 
 @query
@@ -619,9 +609,10 @@ def class_weights(t):
 
 def _explained(t: Inputs) -> tuple[DataFrame, list[str]]:
     names = [f for f, _, _ in LINEAR]
-    values = F.array(*[F.col(f).cast("double") for f in names])
+    # A feature without a value counts as its mean and contributes nothing.
+    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(m)) for f, _, m in LINEAR])
     df = attribution.linear_contributions(
-        t.encounters(), values, [c for _, c, _ in LINEAR], [m for _, _, m in LINEAR]
+        t.model_rows(), values, [c for _, c, _ in LINEAR], [m for _, _, m in LINEAR]
     )
     return df, names
 
@@ -651,6 +642,8 @@ def top_importance(t):
     return profiling.top_features(attribution.global_importance(df, names), "importance", k=3)
 
 
+# The drift queries take the limiting p-value for samples of every size, which SQL can state;
+# user_value_ks takes the exact one, which SQL states by following all paths.
 # ---- drift ---------------------------------------------------------------------------------
 
 @query
@@ -660,7 +653,7 @@ def psi(t):
 
 @query
 def ks_test(t):
-    return drift.compute_ks_tests(*t.sides())
+    return drift.compute_ks_tests(*t.sides(), exact_rows=0)
 
 
 @query
@@ -668,23 +661,34 @@ def event_value_ks(t):
     """Drift of event values between clicks and all other events."""
     events = t.table("events").select("event_type", "value")
     click = F.col("event_type") == "click"
-    return drift.detect_drift(events.filter(~click), events.filter(click), ["value"])
+    return drift.detect_drift(events.filter(~click), events.filter(click), ["value"], exact_rows=0)
+
+
+@query
+def user_value_ks(t):
+    """Exact test, per user, of the values of clicks against those of all other events."""
+    events = t.table("events").filter("value IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL")
+    click = F.col("event_type") == "click"
+    pairs = events.groupBy(F.col("user_id").cast("string").alias("feature"), "value").agg(
+        F.count_if(~click).alias("n_ref"), F.count_if(click).alias("n_cur")
+    )
+    return drift.ks_from_counts(pairs)
 
 
 @query
 def drift_report(t):
-    return drift.detect_drift(*t.sides())
+    return drift.detect_drift(*t.sides(), exact_rows=0)
 
 
 @query
 def drift_summary(t):
-    return drift.drift_summary(drift.detect_drift(*t.sides()))
+    return drift.drift_summary(drift.detect_drift(*t.sides(), exact_rows=0))
 
 
 @query
 def drift_check(t):
     reference, current = t.sides()
-    return drift.drift_check(reference.drop("num_procedures"), current)
+    return drift.drift_check(reference.drop("num_procedures"), current, exact_rows=0)
 
 
 # ---- models: rows only, values depend on the learner -----------------------------------------
@@ -834,6 +838,51 @@ def _consistent(scored: DataFrame) -> DataFrame:
     )
 
 
+def _reloaded(t: Inputs) -> tuple[DataFrame, scoring.Scorer, scoring.Scorer]:
+    """Rows, a scorer, and the same scorer read back from a published run."""
+    rows, scorer = _scorer(t)
+    out = scratch_path(t.spark, "artifacts")
+    run = artifacts.new_run(out)
+    scorer.encoder.write().overwrite().save(run.encoder)
+    artifacts.save_model(scorer.model, run.model, t.spark)
+    artifacts.save_model(scorer.margin_model, run.margin, t.spark)
+    artifacts.save_threshold(t.spark, run.threshold, CUT, 0.7, "check")
+    extra = {"model_version": scorer.model_version, "background": scorer.background}
+    artifacts.save_metrics_report(t.spark, run.report, {"pr_auc": 0.5}, CUT, extra)
+    assert not artifacts.artifacts_ready(t.spark, out)
+    artifacts.publish_run(t.spark, out, run)
+    assert artifacts.artifacts_ready(t.spark, out)
+    return rows, scorer, scoring.Scorer.load(t.spark, out)
+
+
+@query
+def reloaded_scores(t):
+    """For every valid row: whether a stored and reloaded scorer gives the score it gave before."""
+    rows, scorer, loaded = _reloaded(t)
+    valid, _ = row_checks.split_valid(rows)
+    before, after = (s.score(valid, [KEY], explain=False).select(KEY, F.col("risk_score").alias(n)) for s, n in ((scorer, "a"), (loaded, "b")))
+    return before.join(after, KEY).select(KEY, (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("same"))
+
+
+@query
+def model_card(t):
+    _, _, loaded = _reloaded(t)
+    return loaded.model_card(t.spark).select(
+        "model_type", "model_version", "threshold", "n_features", F.size("feature_names").alias("named")
+    )
+
+
+@query
+def explained_row(t):
+    """The reasons of the encounter with the smallest id, largest first."""
+    rows, scorer = _scorer(t)
+    encoded = encoding.encode(scorer.encoder, rows, [KEY])
+    first = rows.agg(F.min(KEY)).first()[0]
+    one = attribution.explain_row(scorer.explain(encoded), KEY, first, scorer.names)
+    impacts = F.transform("top_reasons", lambda r: r["impact"])
+    return one.select(KEY, F.size("top_reasons").alias("reasons"), (impacts == F.sort_array(impacts, False)).alias("ordered"))
+
+
 @query
 def rejected_requests(t):
     """Invalid rows that batch scoring returns with their errors."""
@@ -841,6 +890,54 @@ def rejected_requests(t):
     return scorer.predict_batch(rows, [KEY])[1].select(KEY, F.concat_ws(",", "errors").alias("errors"))
 
 
+@query
+def records_scored_with_defaults(t):
+    """Model rows as JSON lines, some with fields left out, nulled, misspelled or cut off: all come back."""
+    rows, scorer = _scorer(t)
+    k = F.col(KEY)
+    gone = {"race": 5, "num_procedures": 5, "diag2_category": 5, "gender": 7, "time_in_hospital": 11}
+    # Null fields are left out of the text, so what is to be null or wrong is added to it.
+    fields = [
+        F.when(k % gone[c] != 0, F.col(c)).alias(c) if c in gone else F.col(c)
+        for c in (*NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
+    ]
+    text = F.concat(
+        F.rtrim(F.to_json(F.struct(KEY, *fields)), F.lit("}")), F.when(k % 7 == 0, ',"gender":null').otherwise(""),
+        F.when(k % 11 == 0, ',"time_in_hospital":"long"').otherwise(""), F.lit("}"),
+    )
+    path = scratch_path(t.spark, "records")
+    rows.select(F.when(k % 13 == 0, F.substring(text, 1, 30)).otherwise(text)).write.text(path)
+    kept = {KEY: "bigint", "race": "string", "num_procedures": "double"}
+    valid, bad = row_checks.by_errors(stored(tables.load_records(t.spark, path, {KEY: "bigint"}), "records"))
+    scored = scorer.score(valid, list(kept))
+    near = F.abs(F.col("risk_score") - CUT) < 1e-4
+    fits = F.col("risk_score").between(0, 1) & ((F.col("readmitted") == (F.col("risk_score") >= CUT).cast("int")) | near)
+    return scored.select(
+        *kept, F.lit("").alias("errors"), (fits & (F.size("top_reasons") == 3)).alias("scored")
+    ).unionAll(
+        bad.select(
+            KEY, F.lit(None).cast("string"), F.lit(None).cast("double"), F.concat_ws(",", "errors"), F.lit(False)
+        )
+    )
+
+
+@query
+def path_contributions(t):
+    """For every row: whether expected score plus path contributions give its score; leaves come by join."""
+    _, _, encoded = _encoded(t)
+    model = BOOSTED.fit(_parts(encoded)[0]).setLeafCol("leaves")
+    base = attribution.read_forest(encoded, model).base
+    scored = model.transform(encoded)
+    summed = attribution.path_contributions(scored, attribution.path_table(encoded, model), KEY).groupBy(KEY).agg(
+        F.sum("contribution").alias("total"), F.count("feature").alias("n"), F.count_distinct("feature").alias("own")
+    )
+    margin = scored.select(KEY, (2 * vector_to_array("rawPrediction")[1]).alias("m"))
+    return summed.join(margin, KEY).select(
+        KEY, (F.abs(F.col("m") - F.coalesce("total", F.lit(0.0)) - base) < 1e-6).alias("additive"),
+        (F.col("n") == F.col("own")).alias("each_feature_once"),
+    )
+
+
 @query
 def streamed_scores(t):
     """Valid rows scored as a file stream."""

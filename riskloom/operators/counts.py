@@ -13,8 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import sqltext
-from riskloom.operators.running import running_totals
-from riskloom.session import settle
+from riskloom.operators.running import ranged, running_totals
 
 
 def unpivot(
@@ -50,14 +49,20 @@ def text_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def ranged_counts(counts: DataFrame) -> DataFrame:
+    """A table of distinct values, stored in order: all statistics of it start here."""
+    return ranged(counts, "value", ["feature"])
+
+
 def order_statistics(
     counts: DataFrame, shares: Mapping[str, float], settled: bool = False
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per feature.
 
-    The value at 0-based rank r is the one whose running count first exceeds r.
+    The value at 0-based rank r is the one whose running count first exceeds r. ``settled``
+    counts are :func:`ranged_counts`.
     """
-    counts = counts if settled else settle(counts)
+    counts = counts if settled else ranged_counts(counts)
     ranked = running_totals(counts, "value", ["n"], ["feature"])
     totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
     # One row per feature name.

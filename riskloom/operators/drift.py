@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskloom.functions import sqltext
 from riskloom.operators.counts import (
-    bin_counts, column_ranges, equal_width_bin, numeric_counts,
+    bin_counts, column_ranges, equal_width_bin, numeric_counts, ranged_counts,
 )
 from riskloom.operators.running import running_totals
 from riskloom.schema import NUMERIC_FEATURES
@@ -23,6 +25,8 @@ PSI_LIMIT = 0.2
 KS_ALPHA = 0.05
 PSI_BINS = 10
 KS_TERMS = 100
+# Largest sample whose p-value is exact.
+EXACT_ROWS = 10_000
 
 
 def shared_features(
@@ -143,24 +147,67 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(x < 0.05, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
-def ks_from_counts(pairs: DataFrame, settled: bool = False) -> DataFrame:
-    """``(feature, ks_statistic, ks_p_value)``: the largest gap of the two step functions."""
-    pairs = pairs if settled else settle(pairs)
+def lattice_p_value(n: int, m: int, gap: int) -> float:
+    """Chance that samples of ``n`` and ``m`` values of one distribution differ by ``gap / (n m)``.
+
+    An order of the pooled values is a path from (0, 0) to (n, m), and all paths are equally
+    likely. They are followed together, one value at a time: a path at (i, j) takes its next
+    value from the first sample with chance ``(n - i) / (n + m - i - j)``, and is counted and
+    left as soon as ``|i m - j n|`` reaches ``gap``.
+    """
+    if gap <= 0:
+        return 1.0
+    n, m = min(n, m), max(n, m)
+    alive, gone = np.ones(1), 0.0
+    low = 0  # of the first sample, the fewest values of a path that goes on
+    for step in range(n + m):
+        i = np.arange(low, low + len(alive))
+        left = n + m - step
+        first, second = alive * (n - i) / left, alive * (m - (step - i)) / left
+        alive = np.append(second, 0.0)
+        alive[1:] += first
+        i = np.arange(low, low + len(alive))
+        out = np.abs(i * m - (step + 1 - i) * n) >= gap
+        gone += float(alive[out].sum())
+        inside = np.flatnonzero(~out)
+        if not len(inside):
+            break
+        # Gaps grow away from the middle, so what goes on is one run.
+        alive, low = alive[inside[0] : inside[-1] + 1], low + int(inside[0])
+    return min(gone, 1.0)
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_p_value(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    rows = zip(statistic, n, m)
+    return pd.Series([lattice_p_value(int(a), int(b), round(d * a * b)) for d, a, b in rows], dtype=float)
+
+
+def ks_from_counts(pairs: DataFrame, settled: bool = False, exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """``(feature, ks_statistic, ks_p_value)``: the largest gap of the two step functions.
+
+    The p-value is exact where neither side has more than ``exact_rows`` values, and that of the
+    limiting distribution elsewhere. Exact values need a row per feature, not the data.
+    """
+    pairs = pairs if settled else ranged_counts(pairs)
     ranked = running_totals(pairs, "value", ["n_ref", "n_cur"], ["feature"])
     totals = _feature_totals(pairs)
     gap = F.abs(
         F.col("cum_n_ref") / F.col("total_ref") - F.col("cum_n_cur") / F.col("total_cur")
     )
-    return (
+    sizes = F.col("total_ref"), F.col("total_cur")
+    tested = (
         ranked.join(F.broadcast(totals), "feature")
         .groupBy("feature", "total_ref", "total_cur")
         .agg(F.max(gap).alias("ks_statistic"))
-        .select(
-            "feature",
-            "ks_statistic",
-            ks_p_value(F.col("ks_statistic"), F.col("total_ref"), F.col("total_cur")).alias("ks_p_value"),
-        )
+        .withColumn("ks_p_value", ks_p_value(F.col("ks_statistic"), *sizes))
     )
+    if exact_rows > 0:
+        small = F.greatest(*sizes) <= exact_rows
+        # A Python function runs for every row it is given, so large samples go in as empty ones.
+        given = [F.when(small, c).otherwise(0) for c in (F.col("ks_statistic"), *sizes)]
+        tested = tested.withColumn("ks_p_value", F.when(small, _exact_p_value(*given)).otherwise(F.col("ks_p_value")))
+    return tested.select("feature", "ks_statistic", "ks_p_value")
 
 
 def compute_psi(
@@ -189,9 +236,9 @@ def compute_psi(
 
 
 def compute_ks_tests(
-    reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None,
+    reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None, exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
-    return ks_from_counts(paired_counts(reference, current, features))
+    return ks_from_counts(paired_counts(reference, current, features), exact_rows=exact_rows)
 
 
 def detect_drift(
@@ -201,19 +248,20 @@ def detect_drift(
     psi_threshold: float = PSI_LIMIT,
     ks_alpha: float = KS_ALPHA,
     bins: int = PSI_BINS,
+    exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """One row per shared feature: scores, both flags, and their union."""
-    pairs = settle(paired_counts(reference, current, features))
-    return drift_from_counts(pairs, psi_threshold, ks_alpha, bins)
+    pairs = ranged_counts(paired_counts(reference, current, features))
+    return drift_from_counts(pairs, psi_threshold, ks_alpha, bins, exact_rows)
 
 
 def drift_from_counts(
     pairs: DataFrame, psi_threshold: float = PSI_LIMIT, ks_alpha: float = KS_ALPHA,
-    bins: int = PSI_BINS,
+    bins: int = PSI_BINS, exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
-    """Drift report of settled paired counts."""
+    """Drift report of paired counts stored in order."""
     joined = psi_from_counts(pairs, bins).join(
-        F.broadcast(ks_from_counts(pairs, settled=True)), "feature"
+        F.broadcast(ks_from_counts(pairs, True, exact_rows)), "feature"
     )
     flag_psi, flag_ks = F.col("psi") > psi_threshold, F.col("ks_p_value") < ks_alpha
     return joined.select(
@@ -231,12 +279,12 @@ def drift_summary(report: DataFrame) -> DataFrame:
 
 
 def drift_check(
-    reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None,
+    reference: DataFrame, current: DataFrame, features: Iterable[str] | None = None, exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """A row for every asked feature of the current table, neutral where no reference exists."""
     asked = [f for f in (features or NUMERIC_FEATURES) if f in current.columns]
     named = current.sparkSession.createDataFrame([(f,) for f in asked], "feature string")
-    report = detect_drift(reference, current, asked)
+    report = detect_drift(reference, current, asked, exact_rows=exact_rows)
     # One row per feature name.
     return named.join(F.broadcast(report), "feature", "left").select(
         "feature",

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskloom.functions import sqltext
 from riskloom.operators import counts
 from riskloom.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from riskloom.session import settle
 
 _ROWS = "_rows"
 
@@ -69,33 +68,29 @@ def scaling_table(
     columns = list(columns)
     if not exact:
         return _approximate_scaling(df, columns)
-    table = settle(_counts_with_rows(df, columns))
+    table = counts.ranged_counts(_counts_with_rows(df, columns))
     stats = counts.order_statistics(table, {"median": 0.5}, settled=True)
     rows = stats.filter(F.col("feature") == _ROWS).select(F.lit(1).alias("_one"), F.col("total").alias("_rows"))
     medians = (
         stats.filter(F.col("feature") != _ROWS)
         .withColumn("_one", F.lit(1))
         .join(F.broadcast(rows), "_one")  # a single row
-        .select("feature", "median", (F.col("_rows") - F.col("total")).alias("_nulls"), "_rows")
+        .select("feature", "median", "_rows")
     )
-    v, n = F.col("value"), F.col("n")
-    means = (
-        table.join(F.broadcast(medians), "feature")
-        .groupBy("feature", "median", "_nulls", "_rows")
-        .agg(F.sum(v * n).alias("_sum"))
-        .withColumn("mean", (F.col("_sum") + F.col("_nulls") * F.col("median")) / F.col("_rows"))
-        .drop("_sum")
+    # Rows without a value sit at the median, so sums of distances from it need the others only.
+    gap = F.col("value") - F.col("median")
+    sums = (
+        table.join(F.broadcast(medians), "feature")  # a row per column
+        .groupBy("feature", "median", "_rows")
+        .agg(F.sum(F.col("n") * gap).alias("_gaps"), F.sum(F.col("n") * gap * gap).alias("_squares"))
     )
-    squares = (
-        table.join(F.broadcast(means), "feature")
-        .groupBy("feature", "median", "mean", "_nulls", "_rows")
-        .agg(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("_squares"))
-    )
-    gap = F.col("median") - F.col("mean")
-    deviation = F.sqrt((F.col("_squares") + F.col("_nulls") * gap * gap) / F.col("_rows"))
-    return squares.select(
-        "feature", "median", "mean",
-        F.when(deviation == 0, F.lit(1.0)).otherwise(deviation).alias("scale"),
+    off = F.col("_gaps") / F.col("_rows")
+    variance = F.greatest(F.col("_squares") / F.col("_rows") - off * off, F.lit(0.0))
+    # What rounding leaves of a constant column's variance is none.
+    constant = variance <= F.lit(1e-24) * F.greatest(F.pow(F.col("median"), 2), F.lit(1.0))
+    return sums.select(
+        "feature", "median", (F.col("median") + off).alias("mean"),
+        F.when(constant, F.lit(1.0)).otherwise(F.sqrt(variance)).alias("scale"),
     )
 
 

@@ -42,7 +42,7 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
     columns = list(columns or numeric_columns(df))
-    table = settle(counts.numeric_counts(df, columns))
+    table = counts.ranged_counts(counts.numeric_counts(df, columns))
     v, n = F.col("value"), F.col("n")
     means = table.groupBy("feature").agg(
         F.sum("n").alias("count"),

@@ -15,20 +15,34 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskloom.session import stored
 
 
-def running_totals(
-    df: DataFrame, order: str, sums: Iterable[str], group: Iterable[str] = ()
-) -> DataFrame:
-    """Add ``cum_<c>``: the sum of ``c`` over rows of the group up to and including this one.
+RANGE_COLUMNS = ("_key", "_range")
 
-    ``(group, order)`` must be unique and ``order`` not null.
+
+def ranged(df: DataFrame, order: str, group: Iterable[str] = ()) -> DataFrame:
+    """``df`` stored in ranges of group and order, with its columns and ``_key``, ``_range``.
+
+    The one stored form of a table of distinct keys: totals and other sums read it as well, so
+    callers need not settle the table first. The range shuffle samples what an earlier shuffle
+    has written, so the rows behind it are not computed anew.
     """
-    sums, group = list(sums), list(group)
-    placed = stored(
+    group = list(group)
+    return stored(
         df.withColumn("_key", F.struct(*group) if group else F.struct(F.lit(0)))
         .repartitionByRange("_key", order)
         .withColumn("_range", F.spark_partition_id()),
         "ranges",
     )
+
+
+def running_totals(
+    df: DataFrame, order: str, sums: Iterable[str], group: Iterable[str] = ()
+) -> DataFrame:
+    """Add ``cum_<c>``: the sum of ``c`` over rows of the group up to and including this one.
+
+    ``(group, order)`` must be unique and ``order`` not null. ``df`` may be :func:`ranged` already.
+    """
+    sums, group = list(sums), list(group)
+    placed = df if set(RANGE_COLUMNS) <= set(df.columns) else ranged(df, order, group)
     before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # A row per group, and one more for each partition that a group goes on in.
     starts = (
@@ -46,5 +60,5 @@ def running_totals(
         placed.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums})
         .join(starts, ["_key", "_range"])
         .withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"_start_{c}") for c in sums})
-        .drop("_key", "_range", *[f"_start_{c}" for c in sums])
+        .drop(*RANGE_COLUMNS, *[f"_start_{c}" for c in sums])
     )

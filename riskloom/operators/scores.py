@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.scoring import ratio_or_zero
-from riskloom.operators.running import running_totals
+from riskloom.operators.running import ranged, running_totals
 from riskloom.session import settle
 
 METRICS = ("roc_auc", "pr_auc", "f1", "precision", "recall", "brier_score")
@@ -33,14 +33,18 @@ def score_counts(
 
 def cumulative_counts(counts: DataFrame, group: Iterable[str] = ()) -> DataFrame:
     """Adds ``tp`` and ``fp``: positives and negatives scored at or above each score."""
-    ordered = counts.withColumn("_down", -F.col("p"))
     return (
-        running_totals(ordered, "_down", ["pos", "neg"], group)
+        running_totals(_downwards(counts, group), "_down", ["pos", "neg"], group)
         .withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
         .drop("_down")
     )
 
 
+def _downwards(counts: DataFrame, group: Iterable[str]) -> DataFrame:
+    """The counts stored in order, highest score first."""
+    return counts if "_down" in counts.columns else ranged(counts.withColumn("_down", -F.col("p")), "_down", group)
+
+
 def _class_totals(counts: DataFrame, group: list[str]) -> DataFrame:
     """Positives and negatives per group: a small row each."""
     return counts.groupBy(*group).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
@@ -57,9 +61,9 @@ def _curve(
     group = list(group)
     if not group:
         scored, group = scored.withColumn(_ALL, F.lit(0)), [_ALL]
-    counts = settle(score_counts(scored, y, p, group))
+    counts = _downwards(score_counts(scored, y, p, group), group)
     curve = cumulative_counts(counts, group)
-    # The totals come from the settled counts, not from the curve, which would be run twice.
+    # The totals come from the stored counts, not from the curve, which would be run twice.
     return curve.join(_class_totals(counts, group), group), counts, group
 
 

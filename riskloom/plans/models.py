@@ -150,10 +150,10 @@ def out_of_fold(
 ) -> DataFrame:
     """``(key, fold, y, p, keep...)``: every row scored by the model that did not see it.
 
-    ``df`` is read once per fit, so it should be a stored table; the fold number is only a
-    comparison with constants on top of it.
+    ``df`` is read once per fit, so it should be a stored table. A ``fold`` column it already has
+    is used, so the folds of several candidates are located once.
     """
-    assigned = splits.assign_folds(df, key, label, folds, seed)
+    assigned = df if "fold" in df.columns else splits.assign_folds(df, key, label, folds, seed)
     parts = []
     for fold in range(folds):
         model = fit(assigned.filter(F.col("fold") != fold).drop("fold"))

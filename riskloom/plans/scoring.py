@@ -16,9 +16,10 @@ from riskloom.operators.cleaning import fill_contract
 from riskloom.operators.encoding import feature_names
 from riskloom.plans import models
 from riskloom.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from riskloom.session import stored
 from riskloom.sources import artifacts
-from riskloom.sources.checks import require_rows, split_valid
-from riskloom.sources.tables import records_to_table
+from riskloom.sources.checks import by_errors, require_rows, split_valid
+from riskloom.sources.tables import load_records, parse_records, records_to_json
 
 RESULT_COLUMNS = ("risk_score", "risk_tier", "readmitted", "top_reasons", "model_version")
 
@@ -116,7 +117,20 @@ class Scorer:
         self, spark: SparkSession, records: Iterable[Mapping]
     ) -> tuple[DataFrame, DataFrame]:
         """Scores of in-memory records, and the rejected ones with their errors."""
-        return self.predict_batch(records_to_table(spark, records))
+        parsed = stored(parse_records(records_to_json(spark, records), "value"), "records")
+        valid, bad = by_errors(require_rows(parsed))
+        return self.score(valid), bad
+
+    def predict_record_files(
+        self, spark: SparkSession, path: str, keep: Mapping[str, str] | None = None
+    ) -> tuple[DataFrame, DataFrame]:
+        """Scores of JSON-lines records, and the rejected ones with their errors.
+
+        ``keep`` names fields, with their types, that both results carry. Records are parsed
+        once: the checked rows are stored, and both results read them.
+        """
+        valid, bad = by_errors(stored(load_records(spark, path, keep), "records"))
+        return self.score(valid, list(keep or {})), bad
 
     def model_card(self, spark: SparkSession) -> DataFrame:
         """One row: type, version, cut, feature names, metrics, gate violations."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from dataclasses import asdict, dataclass
 
 from pyspark.ml.classification import LogisticRegressionModel
@@ -100,7 +101,10 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
         encoding.encode(encoder, assigned, [KEY, TARGET, "split", *groups]), "encoded", "split"
     )
     part = {s: encoded.filter(F.col("split") == s) for s in ("train", "val", "test")}
-    train_val = encoded.filter("split <> 'test'")
+    # The folds of all candidates and of the threshold, located once; a fold is a folder.
+    train_val = stored(
+        splits.assign_folds(encoded.filter("split <> 'test'"), KEY, TARGET, config.cv_folds, seed), "folds", "fold"
+    )
 
     runs, trained, cv, val_pr = [], {}, {}, {}
     for name, candidate in models.configured_models(config).items():
@@ -110,7 +114,8 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
                 (f"trial-{r['trial']}", name, "trial", r["name"], repr(r["value"]))
                 for r in trials.collect()  # trials x 7 rows
             ]
-        _, metrics = train_and_log_model(candidate, part["train"], part["val"], TARGET, seed)
+        fitted, metrics = train_and_log_model(candidate, part["train"], part["val"], TARGET, seed)
+        artifacts.save_model(fitted, paths.candidate(name), spark)
         runs += run_row("fit", name, dict(candidate.params), metrics)
         trained[name], val_pr[name] = candidate, metrics["pr_auc"]
         cv[name] = models.cross_validated_pr_auc(
@@ -124,7 +129,11 @@ def run_training(raw: DataFrame, out: str, config: TrainingConfig = TrainingConf
     candidate = trained[best]
 
     margin_model = candidate.fit(train_val, TARGET, seed)
-    model, calibrated = _calibrate(candidate, margin_model, part, train_val, config)
+    try:
+        model, calibrated = _calibrate(candidate, margin_model, part, train_val, config)
+    except Exception as error:  # a model without calibration is still one
+        warnings.warn(f"calibration failed, the uncalibrated model is kept: {error}", stacklevel=2)
+        model, calibrated = margin_model, False
 
     def refit(rows: DataFrame):
         if calibrated:

@@ -1,6 +1,6 @@
 """What a training run leaves behind, and how it is read back.
 
-Every run writes a folder of its own: the encoder, the scoring model (a single model or the
+Every run writes a folder of its own: the encoder, every fitted candidate, the scoring model (a single model or the
 members of a calibrated one), the margin model used for explanations, the threshold record, the
 reference snapshot for drift, the run table, the evaluation tables and the report. When all of
 it is there, one record is added to ``pointers`` of the artifact folder, and readers follow the
@@ -140,6 +140,10 @@ class ArtifactPaths:
             raise AttributeError(name)
         return f"{self.root.rstrip('/')}/{name}"
 
+    def candidate(self, name: str) -> str:
+        """Where a fitted candidate is kept, chosen or not."""
+        return f"{self.root.rstrip('/')}/candidates/{name}"
+
 
 def new_run(root: str) -> ArtifactPaths:
     """A fresh folder for one run."""

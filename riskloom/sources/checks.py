@@ -65,8 +65,8 @@ def apply_contract(df: DataFrame, rules: Iterable[FieldRule] = CONTRACT) -> Data
     errors = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")
     if "_corrupt_record" in have:
         # PERMISSIVE scans mark a line whose text did not fit the schema.
-        broken = F.when(F.col("_corrupt_record").isNotNull(), F.array(F.lit("_corrupt_record")))
-        errors = F.concat(F.coalesce(broken, F.array().cast("array<string>")), errors)
+        unread = F.when(F.col("_corrupt_record").isNotNull(), F.array(F.lit("_corrupt_record")))
+        errors = F.concat(F.coalesce(unread, F.array().cast("array<string>")), errors)
     return df.withColumn("errors", errors).withColumns(filled)
 
 
@@ -74,7 +74,11 @@ def split_valid(
     df: DataFrame, rules: Iterable[FieldRule] = CONTRACT
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy the contract, and the quarantined rest with their errors."""
-    checked = apply_contract(df, rules)
+    return by_errors(apply_contract(df, rules))
+
+
+def by_errors(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows without errors, and the others with theirs."""
     good = F.size("errors") == 0
     return checked.filter(good).drop("errors", "_corrupt_record"), checked.filter(~good)
 

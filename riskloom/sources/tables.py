@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import csv
+import json
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.functions import sqltext
 from riskloom.schema import CONTRACT, MISSING_MARKERS, contract_schema, raw_type
@@ -117,6 +118,81 @@ def records_to_table(spark: SparkSession, records: Iterable[Mapping], schema=Non
     return spark.createDataFrame(rows, schema)
 
 
+def load_records(spark: SparkSession, path: str, keep: Mapping[str, str] | None = None) -> DataFrame:
+    """JSON-lines scan of records to score, checked against the contract row by row.
+
+    ``keep`` names further fields with their types; see :func:`parse_records`.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return parse_records(lines, "value", keep)
+
+
+def parse_records(df: DataFrame, text: str, keep: Mapping[str, str] | None = None) -> DataFrame:
+    """Contract fields of records given as JSON text, with ``errors`` and the text of broken ones.
+
+    Records are parsed as variants, so every row knows which fields it lacks and which hold a
+    null: an absent optional field takes its default; a null, an absent required field, a value
+    of another type or out of its range puts the field's name into ``errors``. Numbers may be
+    spelled as text, as long as they are numbers; text fields hold text only. Text that is no
+    JSON object has the one error ``_corrupt_record``. Nothing raises, and fields that are
+    neither in the contract nor in ``keep`` are not read.
+    """
+    fields = F.try_variant_get(F.try_parse_json(F.col(text)), "$", "map<string, variant>")
+    # Generated, not projected: the optimizer would put a projected parse into every use of it.
+    parsed = df.select(F.col(text).alias("_text"), F.explode(F.array(fields)).alias("_fields"))
+    number = lambda v: F.lit(v).cast("double")
+    rules = F.array(
+        *[
+            F.struct(
+                F.lit(r.name).alias("name"), F.lit(r.kind == "string").alias("text"), F.lit(r.kind == "int").alias("whole"),
+                number(r.low).alias("low"), number(r.high).alias("high"), F.lit(r.required).alias("required"),
+            )
+            for r in CONTRACT
+        ]
+    )
+    # One function for all fields, step by step; spelled out per field it would not compile in good time.
+    held = F.transform(rules, lambda r: F.struct(r.alias("rule"), F.try_element_at("_fields", r["name"]).alias("v")))
+    typed = F.transform(held, lambda x: F.struct(x["rule"].alias("rule"), x["v"].alias("v"), F.schema_of_variant(x["v"]).alias("kind")))
+    # A null has the kind VOID, nested values are no numbers, and a field that is absent has no kind.
+    nested = lambda x: F.substring(x["kind"], 1, 5).isin("VOID", "OBJEC", "ARRAY")
+    valued = F.transform(
+        typed,
+        lambda x: F.struct(
+            x["rule"].alias("rule"), x["kind"].isNull().alias("missing"),
+            F.when(x["kind"] == "STRING", F.try_variant_get(x["v"], "$", "string")).alias("text"),
+            F.when(~nested(x), F.try_variant_get(x["v"], "$", "double")).alias("number"),
+        ),
+    )
+
+    def wrong(x: Column) -> Column:
+        n, rule = x["number"], x["rule"]
+        beyond = F.coalesce(n < rule["low"], F.lit(False)) | F.coalesce(n > rule["high"], F.lit(False))
+        bad = n.isNull() | F.isnan(n) | beyond | (rule["whole"] & (n != F.floor(n)))
+        return F.when(x["missing"], rule["required"]).otherwise(F.when(rule["text"], x["text"].isNull()).otherwise(bad))
+
+    checked = parsed.select(
+        "_text", "_fields", valued.alias("_checked")
+    ).withColumn("errors", F.transform(F.filter("_checked", wrong), lambda x: x["rule"]["name"]))
+    whole = F.col("_fields").isNull()
+    columns = [
+        F.try_variant_get(F.try_element_at("_fields", F.lit(name)), "$", kind).alias(name) for name, kind in (keep or {}).items()
+    ]
+    for i, rule in enumerate(CONTRACT):
+        own, kind = F.get("_checked", F.lit(i)), "string" if rule.kind == "string" else "double"
+        value = own["text"] if rule.kind == "string" else own["number"]
+        columns.append(F.when(own["missing"], F.lit(rule.default).cast(kind)).otherwise(value).alias(rule.name))
+    return checked.select(
+        *columns, F.when(whole, F.array(F.lit("_corrupt_record"))).otherwise(F.col("errors")).alias("errors"),
+        F.when(whole, F.col("_text")).alias("_corrupt_record"),
+    )
+
+
+def records_to_json(spark: SparkSession, records: Iterable[Mapping]) -> DataFrame:
+    """In-memory records as JSON text, one row each; what JSON cannot hold becomes text."""
+    rows = [(json.dumps(dict(r), default=str),) for r in records]
+    return spark.createDataFrame(rows, "value string")
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV sink; nested columns are written as JSON text. Nulls are empty fields."""
     flat = [

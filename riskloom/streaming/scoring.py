@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.operators import drift
+from riskloom.operators.counts import ranged_counts
 from riskloom.plans.scoring import Scorer
 from riskloom.schema import contract_schema
-from riskloom.session import scratch_path, settle
 from riskloom.sources.checks import split_valid
 
 
@@ -31,9 +31,11 @@ def score_stream(
 
     Invalid requests go to ``rejected`` (by default ``<out>-rejected``) with their errors.
     Every batch is the batch scoring plan and has a folder of its own in both places, so a
-    batch that is run again replaces what it wrote.
+    batch that is run again replaces what it wrote. Batches are numbered by the checkpoint, which
+    belongs to ``out`` (``<out>-checkpoint``): a later run into the same folder goes on with the
+    next number and reads only requests that have arrived since.
     """
-    checkpoint = checkpoint or scratch_path(requests.sparkSession, "score-stream")
+    checkpoint = checkpoint or f"{out.rstrip('/')}-checkpoint"
     rejected = rejected or f"{out.rstrip('/')}-rejected"
 
     def write(batch: DataFrame, number: int) -> None:
@@ -53,15 +55,18 @@ def drift_stream(
     reference: DataFrame, current: DataFrame, out: str, features: Iterable[str] | None = None,
     checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Drift report of every micro-batch, one folder per batch so that a retry replaces it."""
-    checkpoint = checkpoint or scratch_path(current.sparkSession, "drift-stream")
+    """Drift report of every micro-batch, one folder per batch so that a retry replaces it.
+
+    The checkpoint belongs to ``out``, as that of :func:`score_stream` does.
+    """
+    checkpoint = checkpoint or f"{out.rstrip('/')}-checkpoint"
     names = list(features) if features is not None else None
     # The reference is read once; every batch only counts its own rows.
     stored = drift.reference_counts(reference, names)
 
     def report(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            pairs = settle(drift.add_current(stored, batch, names))
+            pairs = ranged_counts(drift.add_current(stored, batch, names))
             drift.drift_from_counts(pairs).write.mode("overwrite").parquet(
                 f"{out.rstrip('/')}/batch={number}"
             )

@@ -2,6 +2,7 @@
 
 import itertools
 import json
+from dataclasses import replace
 from math import factorial
 
 import numpy as np
@@ -111,21 +112,16 @@ def plain_shapley(predict, row, n):
     return phi
 
 
-def expected(tree, row, known):
+def expected(tree, row, known, node=0):
     """Value of a tree when only ``known`` features are known, by its own cover shares."""
-    total = 0.0
-    for leaf in tree.leaves:
-        part = leaf.value
-        for feature, tests, share in zip(leaf.features, leaf.tests, leaf.shares):
-            if feature not in known:
-                part *= share
-                continue
-            for position, goes_left in tests:
-                _, threshold, categories = tree.tests[position]
-                left = row[feature] in categories if threshold is None else row[feature] <= threshold
-                part *= float(left == goes_left)
-        total += part
-    return total
+    if tree.left[node] < 0:
+        return tree.value[node]
+    children = tree.left[node], tree.right[node]
+    feature, categories = tree.feature[node], tree.categories[node]
+    if feature not in known:
+        return sum(tree.share[c] * expected(tree, row, known, c) for c in children)
+    left = row[feature] <= tree.threshold[node] if categories is None else row[feature] in categories
+    return expected(tree, row, known, children[0] if left else children[1])
 
 
 @pytest.fixture(scope="module")
@@ -154,6 +150,52 @@ def test_tree_contributions_equal_the_definition(vectors, name):
         assert np.allclose(r["contributions"], want)
 
 
+def test_path_weights_equal_the_subset_sum():
+    rng = np.random.default_rng(5)
+    for d in range(1, 12):
+        shares, taken = rng.uniform(0.01, 1, d), rng.integers(0, 2, (d, 6)).astype(float)
+        got = attribution.path_weights(shares, taken)
+        for p in range(6):
+            def pays(_, known):
+                return np.prod([taken[j, p] if j in known else shares[j] for j in range(d)])
+
+            if d <= 8:
+                assert np.allclose(got[:, p], plain_shapley(pays, None, d))
+            assert np.isclose(got[:, p].sum(), np.prod(taken[:, p]) - np.prod(shares))
+
+
+def test_long_paths_and_small_slices_give_the_same(vectors, monkeypatch):
+    model = models.Candidate("random_forest", {"n_estimators": 3, "max_depth": 6}).fit(vectors)
+    forest, rows = attribution.read_forest(vectors, model), model.transform(vectors)
+    whole = {r["id"]: r["contributions"] for r in attribution.tree_contributions(rows, forest).collect()}
+    sliced = {r["id"]: r["contributions"] for r in attribution.tree_contributions(rows, forest, rows=7).collect()}
+    assert all(np.allclose(whole[k], sliced[k]) for k in whole)
+    phi = {}
+    for bits in (12, 0):  # with and without a table of all patterns
+        monkeypatch.setattr(attribution, "LONGEST_TABLE_BITS", bits)
+        x = np.random.default_rng(1).normal(size=(50, 4))
+        phi[bits] = np.zeros((4, 50))
+        for tree in forest.trees:
+            attribution._explain_tree(x, tree, phi[bits])
+    assert np.allclose(phi[12], phi[0])
+
+
+@pytest.mark.parametrize("name,depth", [("random_forest", 4), ("xgboost", 4), ("xgboost", 1)])
+def test_path_contributions_add_up_and_equal_exact_ones_of_stumps(spark, vectors, name, depth):
+    params = {"n_estimators": 6, "max_depth": depth, "scale_pos_weight": 3.0}
+    model = models.Candidate(name, params).fit(vectors).setLeafCol("leaves")
+    forest, rows = attribution.read_forest(vectors, model), model.transform(vectors)
+    got = attribution.path_contributions(rows, attribution.path_table(vectors, model), "id")
+    sums = {r["id"]: {} for r in rows.select("id").collect()}
+    for r in got.collect():
+        sums[r["id"]][r["feature"]] = r["contribution"]
+    margin = vector_to_array("probability")[1] if name == "random_forest" else 2 * vector_to_array("rawPrediction")[1]
+    for r in attribution.tree_contributions(rows, forest).select("id", "contributions", margin.alias("m")).collect():
+        assert np.isclose(sum(sums[r["id"]].values()) + forest.base, r["m"])
+        if depth == 1:
+            assert np.allclose([sums[r["id"]].get(f, 0.0) for f in range(4)], r["contributions"])
+
+
 def test_importances(vectors):
     model = models.Candidate("random_forest", {"n_estimators": 5, "max_depth": 3}).fit(vectors)
     table = attribution.importance_table(model, list("abcd"), vectors)
@@ -317,6 +359,28 @@ def test_drift_against_the_snapshot(spark, trained):
         scoring.check_drift(spark, out + "-absent", rows)
 
 
+def test_every_candidate_is_kept(spark, trained):
+    _, out, _, _ = trained
+    run = artifacts.current_run(spark, out)
+    names = {r["model"] for r in spark.read.parquet(run.runs).filter("kind = 'metric' AND run_id = 'fit'").collect()}
+    assert names == set(models.configured_models(SMALL))
+    for name in names:
+        assert artifacts.load_model(run.candidate(name), spark).numFeatures > 0
+
+
+def test_a_failed_calibration_leaves_the_model(spark, trained, tmp_path, monkeypatch):
+    raw, _, _, _ = trained
+
+    def fail(*_):
+        raise RuntimeError("no sigmoid")
+
+    monkeypatch.setattr(models, "fit_calibrated", fail)
+    small = replace(SMALL, models=("logistic_regression",), cv_folds=2)
+    with pytest.warns(UserWarning, match="no sigmoid"):
+        result = training.run_training(raw, str(tmp_path / "run"), small)
+    assert not result.calibrated and result.best_model == "logistic_regression"
+
+
 def test_streams(spark, trained, tmp_path):
     raw, out, _, _ = trained
     scorer = scoring.Scorer.load(spark, out)
@@ -335,6 +399,20 @@ def test_streams(spark, trained, tmp_path):
     assert spark.read.parquet(str(tmp_path / "drift")).select("batch").distinct().count() == 3
 
 
+def test_a_later_run_into_one_folder_appends(spark, trained, tmp_path):
+    raw, out, _, _ = trained
+    scorer = scoring.Scorer.load(spark, out)
+    rows = training.prepare(raw).drop("readmitted").limit(40)
+    first, second = rows.filter("encounter_id % 2 = 0"), rows.filter("encounter_id % 2 = 1")
+    for part in (first, second):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = streaming.read_requests(spark, str(tmp_path / "in"), rows.schema)
+        streaming.score_stream(scorer, stream, str(tmp_path / "out"), keep=["encounter_id"]).awaitTermination()
+    good, bad = scorer.predict_batch(rows, ["encounter_id"])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == good.count()
+    assert spark.read.parquet(str(tmp_path / "out-rejected")).count() == bad.count()
+
+
 def test_a_model_saved_over_another_form_is_the_one_loaded(spark, vectors, tmp_path):
     fit = models.Candidate("logistic_regression", {"max_iter": 10})
     path = str(tmp_path / "model")

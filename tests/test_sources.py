@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from riskloom.schema import CONTRACT, REQUIRED_COLUMNS, contract_schema
@@ -131,3 +133,45 @@ def test_records_take_defaults_and_keep_nulls(spark):
     good, bad = checks.split_valid(rows)
     assert (good.count(), bad.first()["errors"]) == (1, ["race"])
     assert good.first()["medical_specialty_missing"] == 1
+
+
+def record_lines(tmp_path, *lines):
+    (tmp_path / "r.jsonl").write_text("\n".join(lines) + "\n")
+    return str(tmp_path / "r.jsonl")
+
+
+def test_record_scan_keeps_absent_apart_from_null(spark, tmp_path):
+    full = {**VALID, "id": 1, "unknown_field": {"x": [1]}}
+    cases = [
+        (full, []),
+        ({**full, "race": None}, ["race"]),
+        ({k: v for k, v in full.items() if k != "gender"}, ["gender"]),
+        ({**full, "age_ordinal": "4", "lab_procedure_intensity": "0.5"}, []),
+        ({**full, "age_ordinal": 2.5}, ["age_ordinal"]),
+        ({**full, "age_ordinal": 2.0}, []),
+        ({**full, "age_ordinal": "many", "time_in_hospital": 15}, ["age_ordinal", "time_in_hospital"]),
+        ({**full, "gender": 3}, ["gender"]),
+        ({**full, "num_procedures": [1]}, ["num_procedures"]),
+        ({**full, "num_procedures": {"a": 1}}, ["num_procedures"]),
+        ({**full, "num_emergency_visits": 10**30}, ["num_emergency_visits"]),  # beyond whole numbers
+    ]
+    lines = [json.dumps({**record, "id": i}) for i, (record, _) in enumerate(cases)]
+    path = record_lines(tmp_path, *lines, "", "[1, 2]", "5", "null", '{"id": 99', "  ", '{"id": 1, "id": 2}')
+    got = tables.load_records(spark, path, {"id": "bigint"}).collect()
+    by_id = {r["id"]: r for r in got if r["id"] is not None}
+    assert {i: by_id[i]["errors"] for i in range(len(cases))} == {i: e for i, (_, e) in enumerate(cases)}
+    assert by_id[0]["medical_specialty_missing"] == 1 and by_id[0]["race"] == full.get("race", "Unknown")
+    broken = sorted(r["_corrupt_record"] for r in got if r["id"] is None)
+    assert broken == sorted(["[1, 2]", "5", "null", '{"id": 99', '{"id": 1, "id": 2}'])
+    assert all(r["errors"] == ["_corrupt_record"] for r in got if r["id"] is None)
+    assert all(r["_corrupt_record"] is None for r in by_id.values())
+
+
+def test_record_scan_of_no_lines(spark, tmp_path):
+    rows = tables.load_records(spark, record_lines(tmp_path, ""))
+    assert rows.columns == [*(r.name for r in CONTRACT), "errors", "_corrupt_record"] and rows.count() == 0
+
+
+def test_in_memory_records_never_raise(spark):
+    rows = tables.parse_records(tables.records_to_json(spark, [VALID, {**VALID, "age_ordinal": object()}]), "value")
+    assert sorted(r["errors"] for r in rows.collect()) == [[], ["age_ordinal"]]
