@@ -33,7 +33,9 @@ from riskloom.llm.vectors import best, classes, usable
 
 BUCKET_ROWS, BLOCK_ROWS = 2048, 256
 COORDINATE_FROM, COORDINATES = 0.35, 8
-LARGEST = 1 << 27
+# Doubles at or above this are whole numbers.
+WHOLE_FROM = float(1 << 53)
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 _SLACK = 1e-9
 
 _BUCKETS = "part long, bucket long, dim int, longest double, vectors binary, counts binary, members binary"
@@ -67,7 +69,7 @@ def _buckets(size: int):
                     yield row_batch(
                         _BUCKET_ROWS, [part], [(part << 32) + n], [dim],
                         [max(piece.column("_length").to_pylist())],
-                        [_matrix(piece.column("_v"), dim).astype("<i4").tobytes()],
+                        [_matrix(piece.column("_v"), dim).astype("<f8").tobytes()],
                         [np.asarray(pc.list_value_length(members)).astype("<i4").tobytes()],
                         [np.asarray(members.flatten()).astype("<i8").tobytes()],
                     )
@@ -95,7 +97,7 @@ def _blocks(size: int):
                     yield row_batch(
                         _BLOCK_ROWS, [(part << 32) + n], [dim], [piece.num_rows], [norm],
                         [np.asarray(piece.column("_id")).astype("<i8").tobytes()],
-                        [queries.astype("<i4").tobytes()],
+                        [queries.astype("<f8").tobytes()],
                     )
                     n += 1
 
@@ -128,11 +130,26 @@ def candidates(
 
 
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact integer products: in doubles while every partial sum is below 2**53."""
+    """Exact products of doubles that hold whole numbers.
+
+    In doubles while every partial sum is below 2**53, in longs while it fits one, and as whole
+    numbers of any size beyond that.
+    """
     top = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * queries.shape[-1]
     if top < 2.0**53:
-        return (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
-    return queries.astype(np.int64) @ vectors.T.astype(np.int64)
+        return (queries @ vectors.T).astype(np.int64)
+    if top < 2.0**62:
+        return queries.astype(np.int64) @ vectors.T.astype(np.int64)
+    whole = [np.array([int(x) for x in m.ravel().tolist()], object).reshape(m.shape) for m in (queries, vectors)]
+    return whole[0] @ whole[1].T
+
+
+def _fitting(scores: np.ndarray) -> list[int]:
+    """Scores as longs. One that is too large is an error, one that is too low is the lowest long."""
+    found = scores.tolist()
+    if any(s > HIGHEST for s in found):
+        raise OverflowError("a score does not fit a long")
+    return [max(s, LOWEST) for s in found]
 
 
 def _search(k: int):
@@ -144,8 +161,8 @@ def _search(k: int):
                 row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 dim = row["dim"]
                 ids = np.frombuffer(row["ids"], "<i8")
-                queries = np.frombuffer(row["queries"], "<i4").reshape(-1, dim)
-                vectors = np.frombuffer(row["vectors"], "<i4").reshape(-1, dim)
+                queries = np.frombuffer(row["queries"], "<f8").reshape(-1, dim)
+                vectors = np.frombuffer(row["vectors"], "<f8").reshape(-1, dim)
                 bounds = dict(zip(row["bound_ids"] or (), row["bounds"] or ()))
                 out = _top(
                     k, ids, queries, bounds, vectors, np.frombuffer(row["counts"], "<i4"),
@@ -170,17 +187,21 @@ def _top(k, ids, queries, bounds, vectors, counts, members):
         rows = np.arange(len(vectors)) if rows is None else rows
         scores = products(query[None], vectors[rows])[0]
         if len(scores) > k + 1:  # one of the classes may hold nothing but the query itself
-            near = scores >= np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+            order = np.sort(scores) if scores.dtype == object else np.partition(scores, len(scores) - k - 1)
+            near = scores >= order[len(scores) - k - 1]
             rows, scores = rows[near], scores[near]
         n = counts[rows]
         flat = np.concatenate([members[starts[r] : starts[r + 1]] for r in rows.tolist()])
         scores = np.repeat(scores, n)
         other = flat != own
         flat, scores = flat[other], scores[other]
-        pick = np.lexsort((flat, -scores))[:k]
+        if scores.dtype == object:
+            pick = np.array(sorted(range(len(flat)), key=lambda i: (-scores[i], flat[i]))[:k], np.int64)
+        else:
+            pick = np.lexsort((flat, -scores))[:k]
         found[0] += [own] * len(pick)
         found[1] += flat[pick].tolist()
-        found[2] += scores[pick].tolist()
+        found[2] += _fitting(scores[pick])
     return found
 
 
@@ -190,11 +211,15 @@ def search(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` highest integer scores of every query."""
-    scaled = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * scale))
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < WHOLE_FROM, F.floor(y).cast("double")).otherwise(y)
+
+    scaled = F.transform(F.col(vector_col), whole)
     rows = (
         vectors.filter(usable(F.col(vector_col)))
         .select(F.col(id_col).cast("long").alias("_id"), scaled.alias("_v"), is_query.alias("_asked"))
-        .filter(F.col("_id").isNotNull() & ~F.exists("_v", lambda x: F.abs(x) >= LARGEST))
+        .filter(F.col("_id").isNotNull())
     )
     length = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     buckets = keep(
@@ -238,7 +263,10 @@ def search(
     ) if parts else F.array().cast("array<struct<part:bigint,longest:double>>")
     later = buckets.filter(~F.col("bucket").isin(names)).drop("longest")
     rest = bounded.withColumn("part", F.explode(near["part"])).join(later, ["part", "dim"])
-    return best(first.unionByName(_found(rest, k)), k)
+    lowest = F.raise_error(F.lit("a score does not fit a long")).cast("long")
+    return best(first.unionByName(_found(rest, k)), k).withColumn(
+        "score", F.when(F.col("score") == LOWEST, lowest).otherwise(F.col("score"))
+    )
 
 
 def _owners(blocks: DataFrame) -> DataFrame:
