@@ -44,7 +44,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = byte_runs.remove_repeats(read_table(spark, sf_dir, "documents"))
     return done.select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+        (F.col("n_bytes") - F.col("n_removed")).alias("kept_bytes"),
     )
 
 
