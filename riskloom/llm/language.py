@@ -4,8 +4,8 @@ Learning counts the three-byte grams of all labelled texts per language, summed
 executors; grams are hashed to ``buckets`` cells, so the model holds buckets x languages
 numbers. A text is a mixture: each of its words was drawn from one language, with the
 probability of the word's grams there. Expectation maximisation estimates the proportions;
-then, for the one, two, ... most likely languages, it is run on these alone, and the set with
-the highest likelihood less ``log(words) / 2`` for each further language is kept.
+then, for the one, two, ... most likely languages, it is run on these alone, for as long as the
+likelihood less ``log(words) / 2`` for each further language rises; the last set it rose for is kept.
 
 Texts are handled a few megabytes at a time, all documents of such a piece at once. A text that
 is longer than a piece is a piece of its own.
@@ -29,7 +29,7 @@ from riskloom.llm.common import slices
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-ROUNDS, SET_ROUNDS, MOST_LANGUAGES = 12, 5, 4
+ROUNDS, SET_ROUNDS = 12, 5
 PIECE_BYTES = 1_000_000
 UNKNOWN = "und"
 
@@ -113,7 +113,7 @@ def _maximise(likely: np.ndarray, share: np.ndarray, starts: np.ndarray, owner:
     return share
 
 
-def proportions(log_words: np.ndarray, counts: np.ndarray, most: int = MOST_LANGUAGES) -> np.ndarray:
+def proportions(log_words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Document x language shares of the chosen language sets; every count is positive."""
     starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -125,18 +125,25 @@ def proportions(log_words: np.ndarray, counts: np.ndarray, most: int = MOST_LANG
     order = np.argsort(-free, axis=1, kind="stable")
     fit = np.full(len(counts), -np.inf)
     chosen = np.zeros_like(free)
-    for size in range(1, min(most, languages) + 1):
-        share = np.zeros_like(free)
-        taken = order[:, :size]
+    # The documents whose penalised likelihood still rises, and their words.
+    rising = np.arange(len(counts))
+    for size in range(1, languages + 1):
+        share = np.zeros((len(rising), languages))
+        taken = order[rising, :size]
         # A language the free run has emptied may still be part of the set it starts from.
-        np.put_along_axis(share, taken, np.maximum(np.take_along_axis(free, taken, 1), 1e-6), 1)
+        np.put_along_axis(share, taken, np.maximum(np.take_along_axis(free[rising], taken, 1), 1e-6), 1)
         share /= share.sum(1, keepdims=True)
         if size > 1:
             share = _maximise(likely, share, starts, owner, SET_ROUNDS)
         value = np.add.reduceat(np.log((likely * share[owner]).sum(1)), starts)
-        value -= (size - 1) * np.log(counts + 1.0) / 2
-        better = value > fit + 1e-9
-        fit[better], chosen[better] = value[better], share[better]
+        value -= (size - 1) * np.log(counts[rising] + 1.0) / 2
+        better = value > fit[rising] + 1e-9
+        fit[rising[better]], chosen[rising[better]] = value[better], share[better]
+        if not better.any():
+            break
+        likely, rising = likely[better[owner]], rising[better]
+        starts = np.concatenate(([0], np.cumsum(counts[rising])[:-1]))
+        owner = np.repeat(np.arange(len(rising)), counts[rising])
     return chosen
 
 
