@@ -22,9 +22,14 @@ LEAST_SHARE = 0.0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, and a leading language of at least ``LEAST_SHARE``."""
-    found = language.identify(docs, language.learn(docs), keep=COLUMNS)
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(COLUMNS)
+    """Documents with letters, and a leading language of at least ``LEAST_SHARE``; ``lang`` names it.
+
+    The label teaches the model only: a null one is filled, and one that most words contradict is
+    replaced, so the mix weighs a document by the language of its text.
+    """
+    found = language.identify(docs, language.learn(docs), keep=[c for c in COLUMNS if c != "lang"])
+    known = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    return known.withColumnRenamed("lang_pred", "lang").select(COLUMNS)
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

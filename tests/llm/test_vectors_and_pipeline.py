@@ -145,3 +145,17 @@ def test_one_row_of_each_group_stays(spark, sf_dir):
     known = sorted(x for x in got if x[0] is not None)
     assert known == [(0, b), (1, a), (5, c + " end")]
     assert len(got) == 4 and all(t in (d, d + " end") for i, t in got if i is None)
+
+
+def test_the_found_language_is_what_the_mix_weighs(spark, sf_dir):
+    texts = {"en": "the quick brown foxes were running over those lazy dogs ", "de": "der schnelle Fuchs springt über die faulen Hunde und "}
+    rows = [(2 * i + k, texts[lang] * 5 + f"{lang} {i}", lang, "s1", 9) for i in range(20) for k, lang in enumerate(texts)]
+    rows += [(100, texts["de"] * 6, None, "s1", 9), (101, texts["en"] * 9 + texts["de"], "de", "s1", 9), (102, "12 + 3", "en", "s1", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.known_language(spark, docs.repartition(3), sf_dir)
+    assert found.columns == docs.columns and dict(found.dtypes) == dict(docs.dtypes)
+    kept = {r["doc_id"]: r for r in found.collect()}
+    assert {i: r["lang"] for i, r in kept.items()} == {i: lang for i, _, lang, *_ in rows[:40]} | {100: "de", 101: "en"}
+    assert all(kept[i]["text"] == text for i, text, *_ in rows if i in kept)
+    leaves = corpus_pipeline.mixing.plan_mix(found, corpus_pipeline.domain(), corpus_pipeline.WEIGHTS, max_epochs=1)[1]
+    assert {r["_lang"] for r in leaves.collect()} == {"en", "de"}
