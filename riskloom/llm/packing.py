@@ -37,6 +37,7 @@ _PIECES = pa.schema(
         ("ids", pa.binary()),
     ]
 )
+SLICE = 1_500_000  # bytes of text that are cut into words at a time
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -165,7 +166,7 @@ def pack(
         stream = _Stream(
             TaskContext.get().partitionId(), length, (sentence_penalty, free_penalty), step, ends
         )
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             keys = batch.column("doc_id").to_pylist()
             for key, ids in zip(keys, encode.encode(batch.column("text").to_pylist())):
                 stream.add(key, np.frombuffer(ids + end, "<u4"))

@@ -3,8 +3,8 @@
 Both vocabularies split a text into words before any merge, and no token crosses from a
 non-space character into the white space after it (white space as their expressions know it).
 Cutting a text in front of every run of white space therefore leaves its ids unchanged, and the
-ids of a text are those of its words in a row. Words are kept in a bounded cache; unknown ones
-are encoded many at a time. Unknown words of Latin-1 characters are split by the tokenizer's own
+ids of a text are those of its words in a row. Words are kept in a bounded cache, which when full
+keeps those used most; unknown ones are encoded many at a time. Unknown words of Latin-1 characters are split by the tokenizer's own
 expression and go straight to its merges, each distinct part once; all others pass through the
 whole tokenizer.
 
@@ -23,7 +23,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import regex
@@ -41,7 +41,7 @@ _SIMPLE = re.compile("[\0-\x1b\x20-\x84\x86-\xff]*")
 _CROWDED = re.compile(r"[ \n](?:\s|\Z)")
 # Ahead of a word that is taken as it stands; others follow a space, or begin with a line end.
 _AS_IS = "\n "
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 500_000
 _GATHERED = 1_000_000
 _CHUNK_CHARS = 1_000_000
 
@@ -220,12 +220,13 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null text has none."""
         split = [self._words(t) if t else [] for t in texts]
-        if max(len(self.numbers), len(self.parts)) > self.cached_words:
-            self.forget()
+        if len(self.numbers) > self.cached_words:
+            self._keep_used()
         sizes = np.array([len(words) for words in split], np.int64)
         at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
         if self.numbers.new:
             self._number_new()
+        self.uses += np.bincount(at, minlength=len(self.uses))
         ids = np.concatenate([*self._gathered(at), self.ids[:0]])
         ends = np.concatenate(([0], np.cumsum(self.lengths[at])))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
         return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
@@ -237,8 +238,23 @@ class WordEncoder:
         lengths = np.array([len(i) // 4 for i in found], np.int64)
         self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
         self.lengths = np.concatenate((self.lengths, lengths))
+        self.uses = np.concatenate((self.uses, np.zeros(len(new), np.int64)))
         self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(found), "<u4")))
 
+    def _keep_used(self) -> None:
+        """Keep the words used most, of those used more than once; few new words ever come back."""
+        kept = np.flatnonzero(self.uses > 1)
+        most = self.cached_words // 2
+        if len(kept) > most:
+            kept = np.sort(kept[np.argsort(-self.uses[kept], kind="stable")[:most]])
+        marked = np.zeros(len(self.uses), bool)
+        marked[kept] = True
+        numbers = Numbers()
+        numbers.update(zip(compress(self.numbers, marked.tolist()), range(len(kept))))
+        ids = np.concatenate([*self._gathered(kept), self.ids[:0]])
+        self.numbers, self.ids, self.lengths = numbers, ids, self.lengths[kept]
+        self.starts, self.uses = np.cumsum(self.lengths) - self.lengths, self.uses[kept] // 2
+
     def ids_of(self, words: list[str]) -> list[bytes]:
         """Ids of words, which are not kept; only the parts they share with others are."""
         self._learn([w for w in words if w and w not in self.known])
@@ -260,6 +276,7 @@ class WordEncoder:
         """Empty the cache."""
         self.numbers, self.parts, self.known = Numbers(), {}, dict(self.added)
         self.ids, self.lengths, self.starts = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
 
 @lru_cache(maxsize=4)

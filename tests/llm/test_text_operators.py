@@ -52,6 +52,18 @@ def test_cached_words_give_the_tokenizers_ids(path):
             assert np.frombuffer(ids, "<u4").tolist() == plain
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_a_full_cache_keeps_the_words_used_most(path):
+    encoder, whole = WordEncoder(path, cached_words=60), Tokenizer.from_file(path)
+    for k in range(12):
+        texts = [f"the often used words {k}x{i} often the" for i in range(20)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(encoder.numbers) == len(encoder.lengths) <= 60 + 25
+        # Those seen once go when the cache is full, the frequent ones have their first numbers still.
+        assert [encoder.numbers[w] for w in ("\n the", "often", "used", "words")] == [0, 1, 2, 3]
+
+
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_words_are_cut_at_the_tokenizers_white_space(path):
     odd = [chr(c) for c in range(0x3100) if chr(c).isspace()] + ["\u180e", "\u200b", "\ufeff"]
