@@ -415,3 +415,13 @@ def test_the_mix_is_the_same_for_any_layout(spark):
     key = lambda df: sorted((r["doc_id"], r["epoch"]) for r in df.collect())
     a = mixing.mix(table(spark, rows), F.lit("d"), {}, budget_share=0.4)
     assert key(a) == key(mixing.mix(table(spark, rows[::-1]).repartition(7), F.lit("d"), {}, budget_share=0.4))
+
+
+def test_doubling_sorts_only_what_is_still_equal(monkeypatch):
+    rng = np.random.default_rng(3)
+    s = np.append(np.append(rng.integers(1, 5000, 4000), [7] * 64), 0)
+    sorted_sizes, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: sorted_sizes.append(len(x)) or argsort(x, *a, **k))
+    got = suffix_array._doubled(s).tolist()
+    assert got == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    assert sum(sorted_sizes) < 3 * len(s)
