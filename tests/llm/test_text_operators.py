@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -425,3 +426,45 @@ def test_doubling_sorts_only_what_is_still_equal(monkeypatch):
     got = suffix_array._doubled(s).tolist()
     assert got == sorted(range(len(s)), key=lambda i: s[i:].tolist())
     assert sum(sorted_sizes) < 3 * len(s)
+
+
+def _pieces_with_one_key(rng, gram=24):
+    anchor = bytes(rng.integers(97, 123, gram, dtype=np.uint8))
+    word = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8))
+    left, right = word(300), word(300)
+    texts = [word(300) + anchor + word(300) for _ in range(20)]  # the anchor alone
+    texts += [word(200) + left[-190:] + anchor + right[:186] + word(9) for _ in range(2)]  # one window
+    texts += [word(200) + left[-186:] + anchor + right[:190] + word(9) for _ in range(2)]
+    texts.append(word(400) + anchor + right + word(10))
+    return anchor, texts
+
+
+def test_pieces_that_share_no_window_reach_no_suffix_array(monkeypatch):
+    rng = np.random.default_rng(5)
+    keys, texts, rows = [], [], []
+    for k in range(3):
+        anchor, own = _pieces_with_one_key(rng)
+        if k == 2:
+            own[0] = anchor + own[0]  # twice the anchor: the key is kept whole
+        data = np.frombuffer(anchor, np.uint8)
+        key = byte_runs.span_hashes(data, np.array([0]), np.array([len(data)]))[0]
+        keys += [key] * len(own)
+        texts += own
+    keys = np.array(keys, np.uint64)
+    kept = byte_runs.alike(keys, texts, 400, 24)
+    all_ = suffix_array.repeated_windows(texts, 400)
+    some = suffix_array.repeated_windows([t for t, k in zip(texts, kept) if k], 400)
+    assert [m.tolist() for m, k in zip(all_, kept) if not k] == [[]] * int((~kept).sum())
+    assert [m.tolist() for m, k in zip(all_, kept) if k] == [m.tolist() for m in some]
+    assert not kept[:20].any() and kept[20:24].all() and not kept[24] and kept[50:].all() and any(len(m) for m in some)
+
+    seen = []
+    monkeypatch.setattr(
+        byte_runs, "repeated_windows", lambda p, n: seen.append(len(p)) or suffix_array.repeated_windows(p, n)
+    )
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(keys.view(np.int64)), pa.array(np.arange(len(keys))), pa.array(texts, pa.binary())],
+        names=["key", "name", "bytes"],
+    )
+    list(byte_runs._marked(400, 24)([batch]))
+    assert sum(seen) == kept.sum() < len(texts)
