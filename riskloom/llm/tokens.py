@@ -5,8 +5,8 @@ non-space character into the white space after it (white space as their expressi
 Cutting a text in front of every run of white space therefore leaves its ids unchanged, and the
 ids of a text are those of its words in a row. Words are kept in a bounded cache, which when full
 keeps those used most; unknown ones are encoded many at a time. Unknown words of Latin-1 characters are split by the tokenizer's own
-expression and go straight to its merges, each distinct part once; all others pass through the
-whole tokenizer.
+expression, its classes spelled out, and go straight to its merges, each distinct part once; all
+others pass through the whole tokenizer.
 
 A text without white space in a row, or at its end, is cut at its spaces and line ends alone,
 which leaves its other white space inside words; the same rule makes that right.
@@ -26,6 +26,8 @@ from functools import lru_cache
 from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -39,11 +41,16 @@ _WORDS = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 _SIMPLE = re.compile("[\0-\x1b\x20-\x84\x86-\xff]*")
 # White space that further white space or the end of the text follows.
 _CROWDED = re.compile(r"[ \n](?:\s|\Z)")
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_RARE_SPACES = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
+_RARE_ASCII = [c for c in _RARE_SPACES if c.isascii()]
 # Ahead of a word that is taken as it stands; others follow a space, or begin with a line end.
 _AS_IS = "\n "
 _CACHED_WORDS = 500_000
 _GATHERED = 1_000_000
 _CHUNK_CHARS = 1_000_000
+_TESTED = 32
+_PARTS_SHARE = 8  # of the cached words, how many parts are kept beside them
 
 # ---- fixed values: how the tokenizers split a text ---------------------------
 BYTE_LEVEL_PATTERN = (
@@ -63,7 +70,7 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-def _own_split(tokenizer) -> tuple[regex.Pattern, bool] | None:
+def _own_split(tokenizer) -> tuple[re.Pattern, bool] | None:
     """The expression a tokenizer splits by and whether it lowers case, if it is of a known kind."""
     config = json.loads(tokenizer.to_str())
     steps = config["pre_tokenizer"] or {}
@@ -74,19 +81,23 @@ def _own_split(tokenizer) -> tuple[regex.Pattern, bool] | None:
     if config["model"]["type"] != "BPE" or last.get("type") != "ByteLevel" or last["add_prefix_space"]:
         return None
     if len(steps) == 1 and last["use_regex"] and not normal:
-        return regex.compile(BYTE_LEVEL_PATTERN), False
+        return latin(BYTE_LEVEL_PATTERN), False
     first = steps[0]
     if (
         len(steps) == 2 and not last["use_regex"] and normal == WORD_NORMALIZERS
         and first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
     ):
-        return regex.compile(first["pattern"]["Regex"] + r"|\s+"), True
+        return latin(first["pattern"]["Regex"] + r"|\s+"), True
     return None
 
 
 def crowded(text: str) -> bool:
     """Whether the text has white space in a row or at its end."""
-    return _CROWDED.search(text) is not None
+    if text[-1:] in (" ", "\n") or any(pair in text for pair in _PAIRS):
+        return True
+    # Only other white space behind a space is left, which hardly any text has.
+    rare = _RARE_ASCII if text.isascii() else _RARE_SPACES
+    return any(c in text for c in rare) and _CROWDED.search(text) is not None
 
 
 def cut_words(text: str) -> list[str]:
@@ -106,6 +117,26 @@ def spelled(name: str) -> str:
     return name[2:] if name.startswith(_AS_IS) else name if name.startswith("\n") else " " + name
 
 
+def first_and_rest(text: str) -> tuple[str, str | None]:
+    """Name of the first word of such a text, and the others' names with spaces between them."""
+    first, space, rest = text.replace("\n", " \n").partition(" ")
+    return _AS_IS + first, rest if space else None
+
+
+def latin(pattern: str) -> re.Pattern:
+    """The same expression for texts of Latin-1 characters, whose classes are spelled out."""
+    def spelled_out(kind: str, other: bool = False) -> str:
+        holds = regex.compile(kind).fullmatch
+        return "".join(f"\\x{i:02x}" for i in range(256) if bool(holds(chr(i))) != other)
+
+    inner = {kind: spelled_out(kind) for kind in (r"\p{L}", r"\p{N}", r"\s")} | {r"\S": spelled_out(r"\s", True)}
+    out, inside = [], False
+    for part in re.findall(r"\\p\{\w+\}|\\.|.", pattern, re.S):
+        inside = part == "[" or inside and part != "]"
+        out.append(part if part not in inner else inner[part] if inside else f"[{inner[part]}]")
+    return re.compile("".join(out))
+
+
 class Numbers(dict):
     """Numbers words in the order they come, and lists those it has not seen."""
 
@@ -143,12 +174,6 @@ class WordEncoder:
         self.cached_words = cached_words
         self.forget()
 
-    def _words(self, text: str) -> list[str]:
-        """Words of a text, as the cache names them."""
-        if crowded(text) or self.at_added and self.at_added.search(text):
-            return as_is(self._split(text))
-        return cut_words(text)
-
     def _split(self, text: str) -> list[str]:
         """Words and strings of added tokens in a row."""
         if not self.at_added or not self.at_added.search(text):
@@ -160,8 +185,13 @@ class WordEncoder:
         """Encode words and keep their ids in ``known``."""
         if self.own_split:
             simple, other = [], []
-            for w in words:
-                (simple if _SIMPLE.fullmatch(w) else other).append(w)
+            for at in range(0, len(words), _TESTED):
+                some = words[at : at + _TESTED]
+                if _SIMPLE.fullmatch("".join(some)):
+                    simple += some
+                    continue
+                for w in some:
+                    (simple if _SIMPLE.fullmatch(w) else other).append(w)
             for at in range(0, len(simple), 100_000):
                 self._merge(simple[at : at + 100_000])
             words = other
@@ -177,13 +207,18 @@ class WordEncoder:
         split = [pattern.findall(w.lower() if lower else w) for w in words if w[0] not in _SPACES or w[-1] in _SPACES]
         row = "".join(joined)
         found = pattern.findall(row.lower() if lower else row)
-        new = set(found).union(*split).difference(self.parts)
+        new = list(set(found).union(*split).difference(self.parts))
+        if lower:
+            self.parts.update((part, b"") for part in new if part.isspace())
+            new = [part for part in new if not part.isspace()]
         tokenize = self.tokenizer.model.tokenize
-        for part in new:
-            if lower and part.isspace():
-                self.parts[part] = b""
-                continue
-            letters = part.encode().decode("latin-1").translate(self.letters)
+        # No byte of a text is spelled as a zero, so zeros keep the parts apart.
+        apart = "\0".join(new)
+        if apart.count("\0") < len(new):
+            spelled_out = apart.encode().decode("latin-1").translate(self.letters | {0: "\0"}).split("\0")
+        else:
+            spelled_out = [part.encode().decode("latin-1").translate(self.letters) for part in new]
+        for part, letters in zip(new, spelled_out):
             self.parts[part] = array("I", [t.id for t in tokenize(letters)]).tobytes()
         ids = self.parts.__getitem__
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
@@ -219,11 +254,9 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null text has none."""
-        split = [self._words(t) if t else [] for t in texts]
         if len(self.numbers) > self.cached_words:
             self._keep_used()
-        sizes = np.array([len(words) for words in split], np.int64)
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        at, sizes = self._numbered(texts)
         if self.numbers.new:
             self._number_new()
         self.uses += np.bincount(at, minlength=len(self.uses))
@@ -231,6 +264,38 @@ class WordEncoder:
         ends = np.concatenate(([0], np.cumsum(self.lengths[at])))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
         return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
 
+    def _numbered(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all texts in a row, and how many words each text has.
+
+        Arrow cuts the texts that are not crowded and finds their distinct words, so the cache
+        is asked once for each of these; it names their first words apart.
+        """
+        begin: list[list[str]] = []  # the first word of a plain text, all words of another
+        rest: list[str | None] = []
+        for t in texts:
+            if t and not crowded(t) and not (self.at_added and self.at_added.search(t)):
+                first, others = first_and_rest(t)
+                begin.append([first])
+                rest.append(others)
+            else:
+                begin.append(as_is(self._split(t)) if t else [])
+                rest.append(None)
+        number = self.numbers.__getitem__
+        ahead = np.array([len(words) for words in begin], np.int64)
+        behind = np.array([0 if r is None else r.count(" ") + 1 for r in rest], np.int64)
+        sizes = ahead + behind
+        at = np.empty(int(sizes.sum()), np.int64)
+        # Of each text the words in ``begin`` come first, then those of ``rest``.
+        is_begin = np.repeat(np.tile([True, False], len(texts)), np.column_stack((ahead, behind)).ravel())
+        at[is_begin] = np.fromiter(map(number, chain.from_iterable(begin)), np.int64, int(ahead.sum()))
+        joined = pa.array([" ".join(r for r in rest if r is not None)], pa.large_string())
+        if behind.any():
+            words = pc.split_pattern(joined, " ").flatten().dictionary_encode()
+            names = words.dictionary.to_numpy(zero_copy_only=False)  # much faster than a list
+            distinct = np.fromiter(map(number, names), np.int64, len(names))
+            at[~is_begin] = distinct[np.asarray(words.indices)]
+        return at, sizes
+
     def _number_new(self) -> None:
         """Encode the words that were numbered last and append their ids."""
         new, self.numbers.new = self.numbers.new, []
@@ -260,7 +325,7 @@ class WordEncoder:
         self._learn([w for w in words if w and w not in self.known])
         found = [self.known[w] if w else b"" for w in words]
         self.known = dict(self.added)
-        if len(self.parts) > self.cached_words:
+        if len(self.parts) > self.cached_words // _PARTS_SHARE:
             self.parts = {}
         return found
 

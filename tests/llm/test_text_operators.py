@@ -468,3 +468,15 @@ def test_pieces_that_share_no_window_reach_no_suffix_array(monkeypatch):
     )
     list(byte_runs._marked(400, 24)([batch]))
     assert sum(seen) == kept.sum() < len(texts)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_odd_words_of_many_scripts_have_the_tokenizers_ids(path):
+    rng = np.random.default_rng(8)
+    letters = [*"ab'sS1 ½²ªµ é\n\t\0 \x85\xa0\x1c日,.!ſ", "'s", "  ", " \n", "́", "<|endoftext|>"]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(3000)]
+    encode = WordEncoder(path, cached_words=200)
+    wanted = encode.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for at in range(0, len(texts), 300):
+        found = encode.encode(texts[at : at + 300])
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [w.ids for w in wanted[at : at + 300]]
