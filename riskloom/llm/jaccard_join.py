@@ -54,6 +54,7 @@ SKETCH_BITS = 4096
 BLOCK = 2048  # members of a bucket that are compared in one task
 COUNT_RANGES, RANGE_SHINGLES = 64, 1 << 22  # cells are counted in ranges of about so many shingles
 PIECE = 2_000_000
+HASHED = 500_000  # bytes of text whose shingles are hashed at a time
 
 
 def cell_of(hashes: np.ndarray) -> np.ndarray:
@@ -67,7 +68,10 @@ def _sets(docs: DataFrame, function, schema: str, only: "_Filter | None" = None)
         for batch in slices(batches, "text", PIECE):
             if only is not None:
                 batch = batch.filter(only.hits(batch.column("doc_id")))
-            yield from function(batch.column("doc_id"), list(word_shingles(batch.column("text").to_pylist(), WORDS)))
+            # Shingles are hashed a part at a time, whose arrays are many times its text.
+            parts = (part.column("text").to_pylist() for part in slices([batch], "text", HASHED))
+            sets = [s for texts in parts for s in word_shingles(texts, WORDS)]
+            yield from function(batch.column("doc_id"), sets)
 
     return docs.mapInArrow(run, schema)
 

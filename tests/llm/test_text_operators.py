@@ -480,3 +480,26 @@ def test_odd_words_of_many_scripts_have_the_tokenizers_ids(path):
     for at in range(0, len(texts), 300):
         found = encode.encode(texts[at : at + 300])
         assert [np.frombuffer(f, "<u4").tolist() for f in found] == [w.ids for w in wanted[at : at + 300]]
+
+
+def test_a_worker_hashes_shingles_and_holds_parts_within_bounds(monkeypatch):
+    sizes = []
+    hashes = jaccard_join.word_shingles
+    monkeypatch.setattr(
+        jaccard_join, "word_shingles", lambda texts, n: sizes.append(sum(map(len, texts))) or hashes(texts, n)
+    )
+
+    class Rows:
+        def mapInArrow(self, function, schema):
+            return function
+
+    texts = [f"w{i} " * 20_000 for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], names=["doc_id", "text"])
+    run = jaccard_join._sets(Rows(), lambda ids, sets: [(len(ids), len(sets))], "")
+    assert sum(n for n, m in run([batch]) if n == m) == 40
+    assert max(sizes) <= jaccard_join.HASHED < jaccard_join.PIECE
+
+    encode = WordEncoder(BYTES, cached_words=800)
+    for at in range(20):
+        encode.encode([" ".join(f"w{chr(97 + at)}x{chr(97 + i // 10)}{chr(97 + i % 10)}" for i in range(100))])
+        assert len(encode.parts) <= 100 + 2  # an eighth of the cached words
