@@ -470,6 +470,57 @@ def test_pieces_that_share_no_window_reach_no_suffix_array(monkeypatch):
     assert sum(seen) == kept.sum() < len(texts)
 
 
+def _pieces_of_repeated_words(rng):
+    """Pieces of texts that repeat one of three words between text of their own: keys and bytes."""
+    none = byte_runs.Known(np.empty(0, np.uint64))
+    word = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8))
+    repeated, found = [word(5) * 150, word(7) * 100, word(12) * 60], {}
+    for i in range(30):
+        raw = word(350) + repeated[i % 3][i % 2 :] + word(350)
+        data = np.frombuffer(raw, np.uint8)
+        first, count, key, name = byte_runs.pieces(data, np.ones(len(data) - 399, bool), 400, 24, none, none)
+        found |= {(k, n): raw[a : a + c + 399] for a, c, k, n in zip(first, count, key, name)}
+    keys = np.array([k for k, _ in found], np.uint64)
+    shared = np.flatnonzero([(keys == k).sum() > 1 for k in keys])
+    return keys[shared], [list(found.values())[i] for i in shared]
+
+
+def test_pieces_of_repeated_words_are_set_aside_one_by_one():
+    keys, texts = _pieces_of_repeated_words(np.random.default_rng(6))
+    hashes = lambda t: byte_runs.span_hashes(
+        np.frombuffer(t, np.uint8), np.arange(len(t) - 23), np.arange(24, len(t) + 1)
+    )
+    again = np.array([(hashes(t) == k).sum() > 1 for t, k in zip(texts, keys)])
+    kept = byte_runs.alike(keys, texts, 400, 24)
+    all_ = [len(m) > 0 for m in suffix_array.repeated_windows(texts, 400)]
+    assert kept[all_].all() and (kept & again).any() and (again & ~kept).sum() > 10
+
+    some = suffix_array.repeated_windows([t for t, k in zip(texts, kept) if k], 400)
+    assert [len(m) > 0 for m in some] == [m for m, k in zip(all_, kept) if k]
+
+
+def test_names_of_repeated_words_are_not_sorted_bucket_by_bucket(monkeypatch):
+    rng = np.random.default_rng(8)
+    s = np.append(np.concatenate([np.tile(rng.integers(1, 1500, 30), 12) for _ in range(30)]), 0)
+    put, blocks = suffix_array._Passes._put, []
+    monkeypatch.setattr(suffix_array._Passes, "_put", lambda self, *a: blocks.append(len(a[2])) or put(self, *a))
+    assert suffix_array.sorted_suffixes(s).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    assert len(blocks) < 300
+
+
+def test_doubling_starts_from_several_characters(monkeypatch):
+    rng = np.random.default_rng(7)
+    for largest in (1, 2, 300, 70000, 1 << 40):
+        for n in (0, 1, 2, 3, 50, 700):
+            s = np.append(rng.integers(1, largest + 1, n), 0)
+            s[n // 2 : n] = s[: n - n // 2]
+            assert suffix_array._doubled(s).tolist() == sorted(range(n + 1), key=lambda i: s[i:].tolist())
+    rounds, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: rounds.append(len(x)) or argsort(x, *a, **k))
+    suffix_array._doubled(np.append(np.tile(rng.integers(1, 500, 40), 100), 0))
+    assert len(rounds) < 12
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_odd_words_of_many_scripts_have_the_tokenizers_ids(path):
     rng = np.random.default_rng(8)
